@@ -1,0 +1,21 @@
+"""Broadcast only behind an explicit size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A dimension we hint as broadcast must have at most this many rows; above
+# it the join is left to the optimizer (sort-merge or AQE's own runtime
+# conversion, which is itself bounded by autoBroadcastJoinThreshold).
+MAX_BROADCAST_ROWS = 200_000
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast when ``df`` provably holds at most ``max_rows`` rows.
+
+    The check reads at most ``max_rows + 1`` rows, so its cost is bounded
+    too. Beyond the bound the plain frame is returned and Spark shuffles.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
