@@ -226,7 +226,7 @@ def _(i):
     path = scratch_path(i.spark, "export")
     SK.export_invoices(i.enriched, path, "csv")
     schema = SK.export_frame(i.enriched).schema
-    return i.spark.read.schema(schema).option("header", True).csv(path)
+    return i.spark.read.schema(schema).options(**SK.CSV_OPTIONS).csv(path)
 
 
 @q("sink_cdr_records")
@@ -785,10 +785,11 @@ def _(i):
     commit logs, so the union of both runs is the full result."""
     log = scratch_path(i.spark, "cdr-log")
     out, ckpt = scratch_path(i.spark, "stream-out"), scratch_path(i.spark, "stream-ckpt")
-    raw = i.raw.select("value", (F.col("offset") % 2).alias("part"))
-    raw.where(F.col("part") == 0).select("value").write.mode("overwrite").text(f"{log}/run=0")
+    event_day = F.get_json_object("value", "$.timestamp")
+    first = event_day < F.lit(PRIOR_CUTOFF.isoformat())
+    i.raw.where(first).select("value").write.mode("overwrite").text(f"{log}/day=1")
     _run_stream(i, run_mediation, log=log, out=out, ckpt=ckpt)
-    raw.where(F.col("part") == 1).select("value").write.mode("overwrite").text(f"{log}/run=1")
+    i.raw.where(~first | event_day.isNull()).select("value").write.mode("overwrite").text(f"{log}/day=2")
     return _run_stream(i, run_mediation, log=log, out=out, ckpt=ckpt)
 
 

@@ -27,13 +27,19 @@ def write_invoice_documents(docs: DataFrame, path: str) -> None:
      .write.mode("overwrite").partitionBy("billing_period").text(path))
 
 
+# values are written as they are (the CSV writer trims spaces by default)
+CSV_OPTIONS = {"header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
 def export_frame(enriched: DataFrame) -> DataFrame:
     """The invoice list under its export column names. The raw city column
     is exported as ``city`` because ``Region`` (the mapped region) would
     otherwise clash with ``region`` in Spark's case-insensitive resolution."""
     renames = {k: v for k, v in EXPORT_RENAMES.items() if k in enriched.columns}
     if "region" in enriched.columns and "Region" in renames.values():
-        renames["region"] = "city"
+        # renames apply in order and match names case-insensitively, so the
+        # raw column must move out of the way first
+        renames = {"region": "city", **renames}
     return enriched.withColumnsRenamed(renames)
 
 
@@ -41,7 +47,7 @@ def export_invoices(enriched: DataFrame, path: str, fmt: str = "csv") -> None:
     """Invoice list with the export column names; 'excel' is written as CSV."""
     out = export_frame(enriched)
     if fmt in ("csv", "excel"):
-        out.write.mode("overwrite").option("header", True).csv(path)
+        (out.write.mode("overwrite").options(**CSV_OPTIONS).csv(path))
     elif fmt == "json":
         out.write.mode("overwrite").json(path)
     else:
