@@ -1,10 +1,12 @@
 """Monthly billing as one set-based plan.
 
 Shuffle budget: rated usage is aggregated once per customer (partial
-aggregation before the exchange), joined to the active customers on
-customer_id; every later step (free-unit lines, credit totals, invoice
-arithmetic) reuses that hash partitioning, so no further exchange is
-needed. The tariff grid is the only broadcast and its size is checked.
+aggregation before the exchange) and joined to the active customers on
+customer_id. Everything after that is arithmetic on the customer's single
+row: the plan's free-unit allowances arrive through a broadcast lookup
+(plans x services rows, size-checked by the planner), the per-service lines are an array
+column, and the credit is a fold over it -- no second aggregation and no
+second pass over the rated usage.
 """
 
 from __future__ import annotations
@@ -17,9 +19,8 @@ from pyspark.sql import types as T
 
 from meterbill.functions.calendar import in_period, month_diff, month_start
 from meterbill.functions.money import dlit, out_money
-from meterbill.functions.sizing import broadcast_if_bounded
 from meterbill.operators.rating import active_customers
-from meterbill.schemas import DEFAULT_BILLING, INVOICE_MONEY, RATED, BillingRules
+from meterbill.schemas import DEFAULT_BILLING, INVOICE_MONEY, RATED, SERVICES, BillingRules
 
 AMOUNT = T.DecimalType(24, 6)
 USAGE = T.DecimalType(24, 6)
@@ -73,28 +74,46 @@ def with_usage(customers: DataFrame, usage: DataFrame) -> DataFrame:
     return customers.join(usage, "customer_id", "inner")
 
 
+def plan_allowances(rates: DataFrame, rules: BillingRules = DEFAULT_BILLING) -> DataFrame:
+    """One row per plan: list price and allowance (in usage units) of every
+    service that has free units. Small by construction (plans x services);
+    the planner broadcasts it when its size passes the broadcast threshold."""
+    r = rates.where(F.col("free_units") > 0)
+    svc = F.col("service_type")
+    cols = []
+    for s in SERVICES:
+        scale = rules.free_unit_scale.get(s, 1)
+        cols.append(F.max(F.when(svc == s, F.col("unit_price"))).cast(T.DecimalType(10, 4)).alias(f"_{s}_price"))
+        cols.append(F.max(F.when(svc == s, F.col("free_units") * scale)).cast(USAGE).alias(f"_{s}_allowance"))
+    return r.groupBy(F.col("rate_plan_id").alias("_plan")).agg(*cols)
+
+
+def with_free_units(billable: DataFrame, rates: DataFrame, rules: BillingRules = DEFAULT_BILLING) -> DataFrame:
+    """Adds ``free_lines`` (one struct per service with an allowance; a
+    service with no use still gets a zero line) and ``credit`` to each
+    billable customer row. Pure column arithmetic on the customer's row
+    after a broadcast lookup of its plan: no shuffle, no regrouping."""
+    a = plan_allowances(rates, rules)
+    j = billable.join(a, F.col("rate_plan_id") == F.col("_plan"), "left").drop("_plan")
+    lines = []
+    for s in SERVICES:
+        usage = F.coalesce(F.col(f"{s}_usage"), F.lit(0)).cast(USAGE)
+        allowance = F.col(f"_{s}_allowance")
+        used = F.least(usage, allowance)
+        lines.append(F.struct(F.lit(s).alias("service"), usage.alias("total_usage"),
+                              allowance.alias("free_allowance"), used.alias("free_used"),
+                              (used * F.col(f"_{s}_price")).cast(AMOUNT).alias("credit")))
+    present = F.filter(F.array(*lines), lambda x: x["free_allowance"].isNotNull())
+    j = j.withColumn("free_lines", present)
+    total = F.aggregate("free_lines", F.lit(0).cast(AMOUNT), lambda acc, x: (acc + x["credit"]).cast(AMOUNT))
+    return j.withColumn("credit", total).drop(*[c for c in j.columns if c.startswith("_")])
+
+
 def free_unit_lines(billable: DataFrame, rates: DataFrame,
                     rules: BillingRules = DEFAULT_BILLING) -> DataFrame:
-    """One line per (customer, service with an allowance). A service with an
-    allowance but no usage still yields a line with zero use."""
-    r = rates.where(F.col("free_units") > 0).select(
-        F.col("rate_plan_id").alias("_plan"), F.col("service_type").alias("service"),
-        F.col("unit_price"), F.col("free_units"))
-    r = broadcast_if_bounded(r)
-    svc = F.col("service")
-    scale = F.coalesce(*[F.when(svc == s, F.lit(n)) for s, n in rules.free_unit_scale.items()], F.lit(1))
-    usage = (F.when(svc == "voice", F.col("voice_usage")).when(svc == "sms", F.col("sms_usage"))
-             .when(svc == "data", F.col("data_usage")).otherwise(F.lit(0)))
-    lines = billable.join(r, F.col("rate_plan_id") == F.col("_plan"), "inner").drop("_plan")
-    allowance = (F.col("free_units") * scale).cast(USAGE)
-    lines = lines.select(
-        "customer_id", "service",
-        F.coalesce(usage, F.lit(0)).cast(USAGE).alias("total_usage"),
-        allowance.alias("free_allowance"),
-        F.col("unit_price"),
-    ).withColumn("free_used", F.least("total_usage", "free_allowance"))
-    return lines.withColumn(
-        "credit", (F.col("free_used") * F.col("unit_price").cast(T.DecimalType(10, 4))).cast(AMOUNT))
+    """Long form: one row per (customer, service with an allowance)."""
+    w = with_free_units(billable, rates, rules)
+    return w.select("customer_id", F.inline("free_lines"))
 
 
 def _loyal(as_of: dt.date, rules: BillingRules) -> Column:
@@ -103,23 +122,17 @@ def _loyal(as_of: dt.date, rules: BillingRules) -> Column:
 
 def invoice_terms(customers: DataFrame, rates: DataFrame, rated: DataFrame, invoices: DataFrame,
                   as_of, rules: BillingRules = DEFAULT_BILLING) -> DataFrame:
-    """Unrounded invoice terms per billable customer (one row each) plus the
-    free-unit lines as an array (at most one entry per service)."""
+    """Unrounded invoice terms per billable customer (one row each), with
+    the free-unit lines as an array (at most one entry per service)."""
     as_of = as_of if isinstance(as_of, dt.date) else dt.date.fromisoformat(str(as_of))
     period = billing_period(as_of)
     billable = with_usage(
         not_yet_invoiced(customers, invoices, period).select(
             "customer_id", "rate_plan_id", "activation_date", "is_student"),
         usage_totals(rated, period))
-    lines = free_unit_lines(billable, rates, rules)
-    credits = lines.groupBy("customer_id").agg(
-        F.sum("credit").cast(AMOUNT).alias("free_units_credit"),
-        F.sort_array(F.collect_list(F.struct(
-            "service", "total_usage", "free_allowance", "free_used", "credit"))).alias("free_lines"))
-    t = billable.join(credits, "customer_id", "left")
-    credit = F.coalesce(F.col("free_units_credit"), F.lit(0).cast(AMOUNT))
+    t = with_free_units(billable, rates, rules)
     adjusted = F.greatest(F.lit(0).cast(AMOUNT), F.col("usage_cost") - F.col("credit")).cast(AMOUNT)
-    t = t.withColumn("credit", credit).withColumn("adjusted", adjusted)
+    t = t.withColumn("adjusted", adjusted)
     loyal, student = _loyal(as_of, rules), F.coalesce(F.col("is_student"), F.lit(False))
     adj = F.col("adjusted")
     t = t.withColumns({
@@ -167,8 +180,7 @@ def invoice_documents(customers: DataFrame, rates: DataFrame, rated: DataFrame,
         x["free_allowance"].cast("double").alias("free_allowance"),
         x["free_used"].cast("double").alias("free_used"),
         F.round(x["credit"], 2).cast("double").alias("credit_applied"))
-    details = F.map_from_entries(F.transform(
-        F.coalesce(F.col("free_lines"), F.array()), lambda x: F.struct(x["service"], line(x))))
+    details = F.map_from_entries(F.transform("free_lines", lambda x: F.struct(x["service"], line(x))))
     return t.select(
         "customer_id",
         F.date_format("billing_period", "yyyy-MM").alias("billing_period"),

@@ -7,7 +7,6 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterbill.functions.sizing import broadcast_if_bounded
 from meterbill.operators.mediation import normalize_parties, reject_reason, validate, with_record_hash
 from meterbill.schemas import CUSTOMER_STATUSES, PRIMARY_KEYS, SERVICES, SUBSCRIPTION_TYPES
 
@@ -55,7 +54,7 @@ def out_of_order_count(decoded: DataFrame, order_col: str = "offset") -> DataFra
     x = x.withColumn("_prev", F.lag("_ts").over(w)).withColumn("_first", F.row_number().over(w) == 1)
     last = x.groupBy("_b").agg(F.max(F.struct("_o", "_ts"))["_ts"].alias("_last"))
     last = last.withColumn("_carry", F.lag("_last").over(Window.orderBy("_b"))).select("_b", "_carry")
-    x = x.join(broadcast_if_bounded(last), "_b", "left")
+    x = x.join(last, "_b", "left")
     prev = F.when(F.col("_first"), F.col("_carry")).otherwise(F.col("_prev"))
     return x.agg(F.count(F.when(F.col("_ts") < prev, 1)).alias("out_of_order"))
 

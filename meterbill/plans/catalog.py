@@ -30,7 +30,7 @@ from meterbill.session import scratch_path
 from meterbill.sources import fixtures as FX
 from meterbill.sources import sinks as SK
 from meterbill.sources.cdr import decode_cdr, read_cdr_stream
-from meterbill.sources.tables import cached, read_or_empty, read_table, table_path
+from meterbill.sources.tables import cached, empty_frame, read_or_empty, read_table, table_path
 from meterbill.streaming import mediation as SM
 
 USAGE_AS_OF = FX.USAGE_AS_OF
@@ -74,7 +74,7 @@ class Inputs:
 
     @cached_property
     def no_rated(self) -> DataFrame:
-        return self.spark.createDataFrame([], RATED_CDR)
+        return empty_frame(self.spark, RATED_CDR)
 
     @cached_property
     def joined(self) -> DataFrame:

@@ -69,16 +69,24 @@ def customers(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def literal_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """A small literal table as a local relation, so the optimizer knows its
+    exact size (a list-built frame is an RDD of unknown size, which no
+    planner-side broadcast check could ever accept)."""
+    import pandas as pd
+    return spark.createDataFrame(pd.DataFrame(rows, columns=schema.fieldNames()), schema=schema)
+
+
 def product_rates(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(RATE_ROWS, PRODUCT_RATES)
+    return literal_table(spark, RATE_ROWS, PRODUCT_RATES)
 
 
 def rate_plans(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(PLAN_ROWS, RATE_PLANS)
+    return literal_table(spark, PLAN_ROWS, RATE_PLANS)
 
 
 def product_catalog(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(CATALOG_ROWS, PRODUCT_CATALOG)
+    return literal_table(spark, CATALOG_ROWS, PRODUCT_CATALOG)
 
 
 def usage_fields(spark: SparkSession, root: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -35,13 +36,21 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hpath)
 
 
+def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """A typed empty frame the optimizer can see is empty (it folds to an
+    empty local relation), so joins and unions against it are pruned at
+    planning time instead of shuffling the other side."""
+    return (spark.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+            .where(F.lit(False)))
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType,
                   fmt: str = "parquet") -> DataFrame:
     """The table at ``path``, or an empty frame of ``schema`` when the table
     does not exist yet. Any other read error propagates."""
     if path_exists(spark, path):
         return spark.read.format(fmt).load(path)
-    return spark.createDataFrame([], schema)
+    return empty_frame(spark, schema)
 
 
 def cached(df: DataFrame) -> DataFrame:
