@@ -248,12 +248,18 @@ def invoice_lines(usage: DataFrame) -> DataFrame:
     rt = F.upper(F.col("record_type"))
     qty = (F.when(rt == "VOICE", F.format_string("%d minutes", F.floor(F.coalesce("total_duration_sec", F.lit(0)) / 60)
                                                  .cast("bigint")))
-           .when(rt == "DATA", F.format_string("%.1f MB", F.col("total_data_mb")))
+           .when(rt == "DATA", F.concat(_dec_text(F.col("total_data_mb"), 1), F.lit(" MB")))
            .otherwise(F.format_string("%d messages", F.col("usage_count"))))
     return usage.select(
         "customer_id", "record_type",
         F.date_format("billing_period", "MMMM yyyy").alias("period_label"),
         qty.alias("quantity"),
-        F.format_string("%.2f MAD", F.col("total_base_cost")).alias("base_amount"),
-        F.format_string("%.2f MAD", F.col("total_final_cost")).alias("final_amount"),
+        F.concat(_dec_text(F.col("total_base_cost"), 2), F.lit(" MAD")).alias("base_amount"),
+        F.concat(_dec_text(F.col("total_final_cost"), 2), F.lit(" MAD")).alias("final_amount"),
     )
+
+
+def _dec_text(c: Column, digits: int) -> Column:
+    """Half-up rounding in DECIMAL, rendered as text: the printed digits do
+    not depend on how a formatter would round a binary double."""
+    return F.round(c.cast(T.DecimalType(24, 4)), digits).cast("string")

@@ -488,10 +488,10 @@ GROUP BY 1, 2""",
     "bill_documents": DOCS,
     "bill_document_lines": """SELECT customer_id, record_type, strftime(billing_period, '%B %Y') AS period_label,
   CASE upper(record_type) WHEN 'VOICE' THEN printf('%d minutes', CAST(floor(coalesce(total_duration_sec, 0) / 60) AS BIGINT))
-       WHEN 'DATA' THEN printf('%.1f MB', round(CAST(total_data_mb AS DECIMAL(24,4)), 1))
+       WHEN 'DATA' THEN CAST(round(CAST(total_data_mb AS DECIMAL(24,4)), 1) AS VARCHAR) || ' MB'
        ELSE printf('%d messages', usage_count) END AS quantity,
-  printf('%.2f MAD', round(CAST(total_base_cost AS DECIMAL(24,4)), 2)) AS base_amount,
-  printf('%.2f MAD', round(CAST(total_final_cost AS DECIMAL(24,4)), 2)) AS final_amount FROM iu""",
+  CAST(round(CAST(total_base_cost AS DECIMAL(24,4)), 2) AS VARCHAR) || ' MAD' AS base_amount,
+  CAST(round(CAST(total_final_cost AS DECIMAL(24,4)), 2) AS VARCHAR) || ' MAD' AS final_amount FROM iu""",
     # 2.6
     "agg_revenue_monthly": "SELECT * FROM monthly",
     "agg_customer_metrics": "SELECT * FROM metrics",
