@@ -277,12 +277,24 @@ def invoices_with_customer(invoices: DataFrame, customers: DataFrame) -> DataFra
 
 def invoices_with_usage(invoices: DataFrame, rated: DataFrame) -> DataFrame:
     """Each invoice with the rated records of its customer and month (left
-    join; the status filter is applied to the right side before joining)."""
+    join semantics; the status filter is applied to the usage side first).
+
+    Written as inner join + invoices without usage (anti join against the
+    distinct usage keys) instead of one LEFT join: AQE can split a skewed
+    partition on either side of an inner join, but never on the
+    null-supplying side of an outer join, so a customer-month holding a
+    large share of the usage would otherwise land in a single task.
+    """
+    keys = ["customer_id", "billing_period"]
     r = (rated.where(F.col("rating_status") == RATED)
          .select("customer_id", F.trunc(F.col("timestamp").cast("date"), "MM").alias("billing_period"),
                  "record_hash", "record_type", "final_cost"))
-    return invoices.select("invoice_id", "customer_id", "billing_period", "total_final_cost") \
-        .join(r, ["customer_id", "billing_period"], "left")
+    inv = invoices.select("invoice_id", "customer_id", "billing_period", "total_final_cost")
+    matched = inv.join(r, keys, "inner")
+    seen = r.select(*keys).distinct()
+    alone = inv.join(seen, keys, "left_anti").select(
+        *inv.columns, *[F.lit(None).cast(t).alias(c) for c, t in r.dtypes if c not in keys])
+    return matched.unionByName(alone)
 
 
 def sort_invoices(enriched: DataFrame) -> DataFrame:

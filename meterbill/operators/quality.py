@@ -16,7 +16,7 @@ SHAPE_FIELDS = {
     "sms": ["sender_id", "receiver_id", "cell_id", "technology"],
     "data": ["user_id", "data_volume_mb", "session_duration_sec", "cell_id", "technology"],
 }
-ARRIVAL_BLOCK = 1 << 20
+ARRIVAL_BLOCK = 1 << 22   # rows per ordered block of the out-of-order scan
 
 
 def reject_profile(decoded: DataFrame) -> DataFrame:

@@ -816,7 +816,8 @@ def _(i):
 
 @q("job_end_to_end")
 def _(i):
-    return run_pipeline(i.raw, i.customers, i.rates, i.no_rated, i.invoices_hist, USAGE_AS_OF)
+    return run_pipeline(i.raw, i.customers, i.rates, i.no_rated, i.invoices_hist, USAGE_AS_OF,
+                        stage_path=scratch_path(i.spark, "rated-stage"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
