@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterbill.schemas import MONEY, PRICE, PRODUCT_CATALOG, PRODUCT_RATES, RATE_PLANS
-from meterbill.sources.tables import read_table
+from meterbill.sources.tables import read_table, spread
 
 # Dates the fixtures are built around.
 USAGE_AS_OF = dt.date(2024, 1, 31)      # events lie in 2024-01-01 .. 2024-01-30
@@ -93,7 +93,9 @@ def usage_fields(spark: SparkSession, root: str) -> DataFrame:
     """One usage record per event, in normalized column form, with every
     50th event delivered twice (the duplicate class). ``offset`` is the
     arrival position (the event id)."""
-    e = read_table(spark, root, "events")
+    # per-record work here and in mediation (JSON encode/decode, hashing)
+    # is CPU-heavy: make sure it is spread over the available task slots
+    e = spread(read_table(spark, root, "events"))
     k = F.get_json_object("props", "$.k").cast("int")
     etype = F.col("event_type")
     uid = F.col("user_id").cast("string")
@@ -176,7 +178,7 @@ def invoice_history(spark: SparkSession, root: str) -> DataFrame:
 
 def rated_history(spark: SparkSession, root: str) -> DataFrame:
     """Rated usage from ``lineitem`` joined to ``orders`` (the large table)."""
-    li = read_table(spark, root, "lineitem")
+    li = spread(read_table(spark, root, "lineitem"))
     o = read_table(spark, root, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     j = li.join(o, li.l_orderkey == o.o_orderkey)
     rt = (F.when(F.col("l_returnflag") == "A", "voice").when(F.col("l_returnflag") == "R", "data")

@@ -27,6 +27,15 @@ def read_table(spark: SparkSession, root: str, name: str,
     return df.where(where) if where is not None else df
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin the rows over at least ``min_partitions`` tasks (default:
+    the cluster's parallelism) when the scan yields fewer -- e.g. a single
+    small file holding one row group. On large inputs the scan already has
+    that many splits and the frame is returned unchanged (no shuffle)."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence test through the Hadoop file system of the path (works for
     local, HDFS and object stores alike)."""
