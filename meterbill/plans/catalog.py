@@ -30,7 +30,7 @@ from meterbill.session import scratch_path
 from meterbill.sources import fixtures as FX
 from meterbill.sources import sinks as SK
 from meterbill.sources.cdr import decode_cdr, read_cdr_stream
-from meterbill.sources.tables import cached, empty_frame, read_or_empty, read_table, table_path
+from meterbill.sources.tables import TtlCache, empty_frame, read_or_empty, read_table, table_path
 from meterbill.streaming import mediation as SM
 
 USAGE_AS_OF = FX.USAGE_AS_OF
@@ -247,8 +247,8 @@ def _(i):
 
 @q("cache_table")
 def _(i):
-    c = cached(RT.active_customers(i.customers))
-    return c
+    """Active customers held on the executors for 300 s (dashboard cache life)."""
+    return TtlCache(lambda: RT.active_customers(i.customers), ttl_s=300).get()
 
 
 # --------------------------------------------------------- 2.2 mediation --

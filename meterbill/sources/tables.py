@@ -63,7 +63,33 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType,
 
 
 def cached(df: DataFrame) -> DataFrame:
-    """Keep a reused frame in executor memory (spilling to disk). Refresh by
-    ``unpersist()`` and re-reading; there is no time-to-live."""
+    """Keep a reused frame in executor memory (spilling to disk)."""
     from pyspark import StorageLevel
     return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+class TtlCache:
+    """A frame cached for ``ttl_s`` seconds, then rebuilt from ``loader``.
+
+    The data stays on the executors (persist); the driver only keeps the
+    handle and its age. On expiry the old copy is unpersisted and the
+    loader re-runs, so a refreshed source is picked up.
+    """
+
+    def __init__(self, loader, ttl_s: float = 300.0, clock=None):
+        import time
+        self._loader, self._ttl, self._clock = loader, ttl_s, clock or time.monotonic
+        self._df: DataFrame | None = None
+        self._born = 0.0
+
+    def get(self) -> DataFrame:
+        now = self._clock()
+        if self._df is None or now - self._born >= self._ttl:
+            self.invalidate()
+            self._df, self._born = cached(self._loader()), now
+        return self._df
+
+    def invalidate(self) -> None:
+        if self._df is not None:
+            self._df.unpersist()
+            self._df = None

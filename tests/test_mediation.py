@@ -127,3 +127,20 @@ def test_out_of_order_across_blocks(spark, monkeypatch):
     got = Q.out_of_order_count(raw_frame(spark, recs)).collect()[0][0]
     expected = sum(1 for a, b in zip(ts, ts[1:]) if b < a)
     assert got == expected
+
+
+def test_ttl_cache_refreshes_after_expiry(spark):
+    from meterbill.sources.tables import TtlCache
+    now = [0.0]
+    loads = []
+
+    def loader():
+        loads.append(1)
+        return spark.range(len(loads))
+    c = TtlCache(loader, ttl_s=300, clock=lambda: now[0])
+    assert c.get().count() == 1 and c.get().count() == 1 and len(loads) == 1
+    assert c.get().is_cached
+    now[0] = 299.0
+    assert c.get().count() == 1
+    now[0] = 300.0
+    assert c.get().count() == 2 and len(loads) == 2
