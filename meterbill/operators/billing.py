@@ -32,8 +32,13 @@ def billing_period(as_of) -> dt.date:
 
 def billable_usage(rated: DataFrame, period: dt.date) -> DataFrame:
     """Rated (not unmatched) records of the month; a range predicate on the
-    timestamp so file statistics prune."""
-    return rated.where((F.col("rating_status") == RATED) & in_period(F.col("timestamp"), period))
+    timestamp so file statistics prune, plus -- when the table is stored by
+    usage month -- a predicate on that partition column so only the month's
+    folder (and rows whose month is unknown) is listed and read."""
+    cond = (F.col("rating_status") == RATED) & in_period(F.col("timestamp"), period)
+    if "usage_month" in rated.columns:
+        cond = cond & (F.col("usage_month").isNull() | (F.col("usage_month") == F.lit(period)))
+    return rated.where(cond)
 
 
 def usage_totals(rated: DataFrame, period: dt.date) -> DataFrame:

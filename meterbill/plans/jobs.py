@@ -12,6 +12,7 @@ from meterbill.operators.mediation import mediate
 from meterbill.operators.rating import rate
 from meterbill.schemas import DEFAULT_BILLING, DEFAULT_TARIFF, BillingRules, TariffRules
 from meterbill.sources.cdr import decode_cdr
+from meterbill.sources.sinks import write_rated
 
 
 def run_mediation(raw: DataFrame) -> DataFrame:
@@ -47,8 +48,8 @@ def run_pipeline(raw: DataFrame, customers: DataFrame, rates: DataFrame, rated:
     normalized = run_mediation(raw)
     new_rated = run_rating(normalized, customers, rates, rated, as_of)
     if stage_path is not None:
-        new_rated.write.mode("overwrite").parquet(stage_path)
+        write_rated(new_rated, stage_path, mode="overwrite")
         new_rated = new_rated.sparkSession.read.parquet(stage_path)
-    all_rated = rated.unionByName(new_rated)
+    all_rated = rated.unionByName(new_rated, allowMissingColumns=True)
     new_invoices, _ = run_billing(customers, rates, all_rated, invoices, as_of)
     return region_revenue(invoices.unionByName(new_invoices), customers, as_of, months)

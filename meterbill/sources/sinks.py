@@ -20,6 +20,22 @@ def append(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[st
     w.save() if fmt == "jdbc" else w.save(path)
 
 
+USAGE_MONTH = "usage_month"
+
+
+def write_rated(rated: DataFrame, path: str, mode: str = "append") -> None:
+    """Append rated rows to the rated table, one folder per usage month
+    (unmatched rows, which have no timestamp, land in the default folder).
+    Billing one month then lists and reads a single folder."""
+    (rated.withColumn(USAGE_MONTH, F.trunc(F.col("timestamp").cast("date"), "MM"))
+     .write.mode(mode).partitionBy(USAGE_MONTH).parquet(path))
+
+
+def write_invoices(invoices: DataFrame, path: str, mode: str = "append") -> None:
+    """Append invoice rows, one folder per billing period."""
+    invoices.write.mode(mode).partitionBy("billing_period").parquet(path)
+
+
 def write_invoice_documents(docs: DataFrame, path: str) -> None:
     """One JSON document per line, folders by billing period; written by
     the executors in parallel (no driver-side files)."""
