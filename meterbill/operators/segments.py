@@ -10,12 +10,13 @@ from meterbill.schemas import SEGMENT_LABELS
 TERTILES = [0.0, 1.0 / 3.0, 2.0 / 3.0, 1.0]
 
 
-def _edges(df: DataFrame, cols: list[str]) -> dict[str, list[float] | None]:
-    """Exact interpolated quantiles of each column as ONE aggregated row
-    (bounded size, so fetching it to the driver is safe)."""
-    row = df.agg(*[F.percentile(F.col(c).cast("double"), F.array(*[F.lit(q) for q in TERTILES])).alias(c)
+def _edges(df: DataFrame, cols: list[str]) -> tuple[int, dict[str, list[float] | None]]:
+    """Row count and exact interpolated tertile edges of each column, as ONE
+    aggregated row (bounded size, so fetching it to the driver is safe)."""
+    row = df.agg(F.count(F.lit(1)).alias("_n"),
+                 *[F.percentile(F.col(c).cast("double"), F.array(*[F.lit(q) for q in TERTILES])).alias(c)
                    for c in cols]).first()
-    return {c: (list(row[c]) if row[c] is not None else None) for c in cols}
+    return row["_n"], {c: (list(row[c]) if row[c] is not None else None) for c in cols}
 
 
 def _score(col: str, edges: list[float] | None):
@@ -31,11 +32,10 @@ def _score(col: str, edges: list[float] | None):
 def rfm_scores(df: DataFrame, frequency: str = "total_invoices", monetary: str = "total_spent") -> DataFrame:
     """Frequency and monetary scores over the population passed in (no
     recency term). Populations of 3 rows or fewer are not scored."""
-    n = df.count()
+    n, e = _edges(df, [frequency, monetary])
     if n <= 3:
         return df.select("*", *[F.lit(None).cast("int").alias(c)
                                 for c in ("frequency_score", "monetary_score", "rfm_score")])
-    e = _edges(df, [frequency, monetary])
     f, m = _score(frequency, e[frequency]), _score(monetary, e[monetary])
     return df.select("*", f.cast("int").alias("frequency_score"), m.cast("int").alias("monetary_score")) \
         .withColumn("rfm_score", F.col("frequency_score") + F.col("monetary_score"))
