@@ -22,9 +22,10 @@ def run_mediation(raw: DataFrame) -> DataFrame:
 
 
 def run_rating(normalized: DataFrame, customers: DataFrame, rates: DataFrame, rated: DataFrame,
-               as_of: dt.date, rules: TariffRules = DEFAULT_TARIFF) -> DataFrame:
-    """New rated_cdr rows (append them to the rated table)."""
-    return rate(normalized, customers, rates, rated, as_of, rules)
+               as_of: dt.date, rules: TariffRules = DEFAULT_TARIFF, since: dt.date | None = None) -> DataFrame:
+    """New rated_cdr rows (append them with ``sinks.write_rated``).
+    ``since`` bounds an incremental run (see ``operators.rating.unprocessed``)."""
+    return rate(normalized, customers, rates, rated, as_of, rules, since)
 
 
 def run_billing(customers: DataFrame, rates: DataFrame, rated: DataFrame, invoices: DataFrame,
