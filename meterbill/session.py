@@ -51,8 +51,7 @@ def get_spark(master: str | None = None, app: str = "meterbill",
     for k, v in BASE_CONF.items():
         if k.startswith("spark.sql.") and "stateStore" not in k:
             spark.conf.set(k, v)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(checkpoint_root(spark))
+    ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -71,6 +70,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Make ``DataFrame.checkpoint()`` usable: the context takes its folder
+    from ``spark.checkpoint.dir``; only when none is configured the shared
+    root above is set."""
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(checkpoint_root(spark))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/meterbill/{name}-{uuid.uuid4().hex[:12]}"
