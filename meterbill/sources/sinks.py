@@ -38,9 +38,12 @@ def write_invoices(invoices: DataFrame, path: str, mode: str = "append") -> None
 
 def write_invoice_documents(docs: DataFrame, path: str) -> None:
     """One JSON document per line, folders by billing period; written by
-    the executors in parallel (no driver-side files)."""
+    the executors in parallel (no driver-side files). Only the periods
+    being written are replaced (dynamic partition overwrite), so re-running
+    a month is idempotent and earlier months stay untouched."""
     (docs.select(F.col("document.billing_period").alias("billing_period"), F.to_json("document").alias("value"))
-     .write.mode("overwrite").partitionBy("billing_period").text(path))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("billing_period").text(path))
 
 
 # values are written as they are (the CSV writer trims spaces by default)

@@ -138,3 +138,17 @@ def test_invoice_lines_format(spark):
     assert got["data"]["quantity"] == "12.3 MB"
     assert got["sms"]["quantity"] == "4 messages"
     assert got["voice"]["base_amount"] == "1.23 MAD" and got["data"]["final_amount"] == "0.45 MAD"
+
+
+def test_documents_of_other_months_survive_a_rerun(spark, scratch):
+    c = customers(spark, [{"customer_id": "c1"}])
+    path = scratch("docs")
+    jan = rated(spark, [{"customer_id": "c1"}])
+    feb = rated(spark, [{"customer_id": "c1", "timestamp": dt.datetime(2024, 2, 10, 12)}])
+    SK.write_invoice_documents(B.invoice_documents(c, rates(spark), jan, no_invoices(spark), AS_OF), path)
+    SK.write_invoice_documents(B.invoice_documents(c, rates(spark), feb, no_invoices(spark),
+                                                   dt.date(2024, 2, 29)), path)
+    SK.write_invoice_documents(B.invoice_documents(c, rates(spark), feb, no_invoices(spark),
+                                                   dt.date(2024, 2, 29)), path)     # re-run February
+    got = sorted(r["billing_period"] for r in spark.read.text(path).select("billing_period").collect())
+    assert [str(x) for x in got] == ["2024-01", "2024-02"]

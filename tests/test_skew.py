@@ -71,3 +71,26 @@ def test_billing_hot_customer_is_exact(spark):
     assert inv["hot"]["total_base_cost"] == Decimal("30.00")
     assert inv["hot"]["total_final_cost"] == Decimal("37.00")     # 30 * 1.2 + 1
     assert len(inv) == 51
+
+
+def test_rating_customer_join_splits_hot_msisdn(spark, skew_conf):
+    from meterbill.operators import rating as RT
+    from meterbill.schemas import NORMALIZED_CDR
+    cols = NORMALIZED_CDR.fieldNames()
+
+    def cdr(i, m):
+        d = dict(record_type="sms", timestamp=dt.datetime(2024, 1, 3, 9), msisdn=m, peer_id="212600000002",
+                 duration_sec=None, data_volume_mb=None, session_duration_sec=None, cell_id="C", technology="4G",
+                 status="ok", record_hash=f"h{i}")
+        return tuple(d[c] for c in cols)
+    n = spark.createDataFrame([cdr(i, "hot") for i in range(3000)] + [cdr(5000 + i, f"c{i % 300}") for i in range(300)],
+                              NORMALIZED_CDR).repartition(8)
+    base = dict(customer_name="n", subscription_type="postpaid", rate_plan_id="P",
+                activation_date=dt.date(2023, 6, 1), status="active", region="RABAT", is_student=False)
+    cust = spark.createDataFrame([tuple({**base, "customer_id": c}[k] for k in CUSTOMERS.fieldNames())
+                                  for c in ["hot"] + [f"c{i}" for i in range(300)]], CUSTOMERS)
+    out = RT.with_customer(n, cust)
+    rows = out.collect()
+    assert len(rows) == 3300 and all(r["customer_id"] is not None for r in rows)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and ("isSkewJoin=true" in plan or "skew=true" in plan)
