@@ -62,23 +62,34 @@ def out_of_order_count(decoded: DataFrame, order_col: str = "offset") -> DataFra
 def anomaly_profile(decoded: DataFrame, order_col: str = "offset") -> DataFrame:
     """Counts of the five anomaly kinds: missing fields, corrupted values,
     unknown record types, duplicate deliveries (extra copies per record
-    hash), out-of-order arrivals."""
+    hash), out-of-order arrivals.
+
+    Two passes over the messages: one group-by on the record hash that
+    also carries the per-row flags as partial sums (combined map-side, so a
+    hash with very many copies stays one row per task), and the ordered
+    arrival scan.
+    """
     rt = F.col("record_type")
-    flags = decoded.agg(
-        F.count(F.lit(1)).alias("total_records"),
-        F.count(F.when(_missing_field(), 1)).alias("missing_fields"),
-        F.count(F.when(_corrupted(), 1)).alias("corrupted_values"),
-        F.count(F.when(rt.isNotNull() & ~rt.isin(*SERVICES), 1)).alias("unknown_types"))
-    dups = (with_record_hash(normalize_parties(decoded)).groupBy("record_hash")
-            .agg(F.count(F.lit(1)).alias("_n"))
-            .agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("duplicates")))
+    flagged = with_record_hash(normalize_parties(decoded)).select(
+        "record_hash",
+        _missing_field().cast("int").alias("_m"),
+        _corrupted().cast("int").alias("_c"),
+        (rt.isNotNull() & ~rt.isin(*SERVICES)).cast("int").alias("_u"))
+    per_hash = flagged.groupBy("record_hash").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("_m").alias("_m"), F.sum("_c").alias("_c"), F.sum("_u").alias("_u"))
+    counts = per_hash.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("total_records"),
+        F.coalesce(F.sum("_m"), F.lit(0)).cast("bigint").alias("missing_fields"),
+        F.coalesce(F.sum("_c"), F.lit(0)).cast("bigint").alias("corrupted_values"),
+        F.coalesce(F.sum("_u"), F.lit(0)).cast("bigint").alias("unknown_types"),
+        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("duplicates"))
     ooo = out_of_order_count(decoded, order_col)
-    # three one-row frames stacked and folded (no join needed)
+    # two one-row frames stacked and folded (no join needed)
     cols = ["total_records", "missing_fields", "corrupted_values", "unknown_types", "duplicates", "out_of_order"]
 
     def pad(df):
         return df.select(*[F.col(c) if c in df.columns else F.lit(None).cast("bigint").alias(c) for c in cols])
-    return pad(flags).unionByName(pad(dups)).unionByName(pad(ooo)).agg(*[F.max(c).alias(c) for c in cols])
+    return pad(counts).unionByName(pad(ooo)).agg(*[F.max(c).alias(c) for c in cols])
 
 
 def _pk_violations(name: str, df: DataFrame, keys: list[str]) -> DataFrame:
