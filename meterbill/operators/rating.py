@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterbill.functions import rating as R
-from meterbill.schemas import (DEFAULT_TARIFF, MONEY, PRICE, RATED, RATED_CDR, RATED_COLUMNS,
+from meterbill.schemas import (DEFAULT_TARIFF, PRICE, RATED, RATED_CDR, RATED_COLUMNS,
                                STATUS_OK, UNMATCHED, TariffRules)
 
 CDR_COLUMNS = ["record_hash", "record_type", "timestamp", "msisdn", "peer_id", "duration_sec",

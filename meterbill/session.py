@@ -74,8 +74,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Make ``DataFrame.checkpoint()`` usable: the context takes its folder
     from ``spark.checkpoint.dir``; only when none is configured the shared
     root above is set."""
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(checkpoint_root(spark))
+    try:
+        sc = spark.sparkContext
+    except Exception:       # Spark Connect: the server's spark.checkpoint.dir applies
+        return
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(checkpoint_root(spark))
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -32,8 +32,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     the cluster's parallelism) when the scan yields fewer -- e.g. a single
     small file holding one row group. On large inputs the scan already has
     that many splits and the frame is returned unchanged (no shuffle)."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:       # sessions without the RDD API (Spark Connect): leave the plan as is
+        return df
+    return df.repartition(target) if parts < target else df
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
