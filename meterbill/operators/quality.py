@@ -42,24 +42,34 @@ def _corrupted() -> F.Column:
     return F.coalesce(neg, F.lit(False)) | F.coalesce(~party.rlike(r"^\+?[0-9]+$"), F.lit(False))
 
 
-def out_of_order_count(decoded: DataFrame, order_col: str = "offset") -> DataFrame:
+def out_of_order_count(decoded: DataFrame, order_col: str = "offset",
+                       partition_col: str | None = None) -> DataFrame:
     """Rows whose event time is earlier than the previous row's in arrival
-    order. The lag runs inside fixed arrival blocks; the first row of each
-    block compares with the last row of the preceding non-empty block, taken
-    from a per-block summary (one row per block)."""
+    order (within a source partition when ``partition_col`` is given, e.g.
+    the topic partition: offsets restart in every partition, and arrival
+    order is only defined inside one).
+
+    The lag runs inside fixed arrival blocks of ``ARRIVAL_BLOCK`` offsets, so
+    no task holds more than one block; the first row of each block compares
+    with the last row of the preceding non-empty block of the same source
+    partition, taken from a per-block summary (one row per block).
+    """
     ts = F.expr("try_cast(timestamp AS TIMESTAMP)")
-    x = decoded.select(F.col(order_col).alias("_o"), ts.alias("_ts"),
+    part = [F.col(partition_col).alias("_p")] if partition_col else [F.lit(0).alias("_p")]
+    x = decoded.select(*part, F.col(order_col).alias("_o"), ts.alias("_ts"),
                        F.floor(F.col(order_col) / ARRIVAL_BLOCK).alias("_b"))
-    w = Window.partitionBy("_b").orderBy("_o", "_ts")
+    w = Window.partitionBy("_p", "_b").orderBy("_o", "_ts")
     x = x.withColumn("_prev", F.lag("_ts").over(w)).withColumn("_first", F.row_number().over(w) == 1)
-    last = x.groupBy("_b").agg(F.max(F.struct("_o", "_ts"))["_ts"].alias("_last"))
-    last = last.withColumn("_carry", F.lag("_last").over(Window.orderBy("_b"))).select("_b", "_carry")
-    x = x.join(last, "_b", "left")
+    last = x.groupBy("_p", "_b").agg(F.max(F.struct("_o", "_ts"))["_ts"].alias("_last"))
+    last = (last.withColumn("_carry", F.lag("_last").over(Window.partitionBy("_p").orderBy("_b")))
+            .select("_p", "_b", "_carry"))
+    x = x.join(last, ["_p", "_b"], "left")
     prev = F.when(F.col("_first"), F.col("_carry")).otherwise(F.col("_prev"))
     return x.agg(F.count(F.when(F.col("_ts") < prev, 1)).alias("out_of_order"))
 
 
-def anomaly_profile(decoded: DataFrame, order_col: str = "offset") -> DataFrame:
+def anomaly_profile(decoded: DataFrame, order_col: str = "offset",
+                    partition_col: str | None = None) -> DataFrame:
     """Counts of the five anomaly kinds: missing fields, corrupted values,
     unknown record types, duplicate deliveries (extra copies per record
     hash), out-of-order arrivals.
@@ -83,7 +93,7 @@ def anomaly_profile(decoded: DataFrame, order_col: str = "offset") -> DataFrame:
         F.coalesce(F.sum("_c"), F.lit(0)).cast("bigint").alias("corrupted_values"),
         F.coalesce(F.sum("_u"), F.lit(0)).cast("bigint").alias("unknown_types"),
         F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("duplicates"))
-    ooo = out_of_order_count(decoded, order_col)
+    ooo = out_of_order_count(decoded, order_col, partition_col)
     # two one-row frames stacked and folded (no join needed)
     cols = ["total_records", "missing_fields", "corrupted_values", "unknown_types", "duplicates", "out_of_order"]
 
