@@ -4,9 +4,9 @@ Shuffle budget: rated usage is aggregated once per customer (partial
 aggregation before the exchange) and joined to the active customers on
 customer_id. Everything after that is arithmetic on the customer's single
 row: the plan's free-unit allowances arrive through a broadcast lookup
-(plans x services rows, size-checked by the planner), the per-service lines are an array
-column, and the credit is a fold over it -- no second aggregation and no
-second pass over the rated usage.
+(plans x services rows, size-checked by the planner), the per-service
+lines are an array column, and the credit is a fold over it -- no second
+aggregation and no second pass over the rated usage.
 """
 
 from __future__ import annotations
