@@ -154,19 +154,20 @@ def _stream_raw_folder(i: Inputs) -> str:
 
 
 def _run_stream(i: Inputs, transform, trigger: str | None = None, graceful: bool = False,
-                log: str | None = None, out: str | None = None, ckpt: str | None = None) -> DataFrame:
+                log: str | None = None, out: str | None = None, ckpt: str | None = None,
+                sink: str = "files") -> DataFrame:
     log = log or _stream_raw_folder(i)
     out = out or scratch_path(i.spark, "stream-out")
     ckpt = ckpt or scratch_path(i.spark, "stream-ckpt")
     stream = read_cdr_stream(i.spark, "text", log, maxFilesPerTrigger="1000")
     query = SM.start_mediation(transform(stream), out, ckpt, trigger=trigger or "1 second",
-                               available_now=trigger is None)
+                               available_now=trigger is None, sink=sink)
     if trigger is None:
         query.awaitTermination()
     else:
         query.processAllAvailable()
         SM.stop(query, 5.0) if graceful else query.stop()
-    return i.spark.read.parquet(out).drop("batch_id")
+    return i.spark.read.parquet(out).drop("batch_id", "event_date")
 
 
 # ------------------------------------------------------------ 2.1 sources --
@@ -208,7 +209,7 @@ def _(i):
 
 @q("sink_foreach_batch")
 def _(i):
-    return _run_stream(i, run_mediation)
+    return _run_stream(i, run_mediation, sink="foreach_batch")
 
 
 @q("sink_invoice_json")

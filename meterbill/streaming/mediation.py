@@ -48,11 +48,26 @@ def idempotent_batch_writer(out_path: str, fmt: str = "parquet"):
 
 
 def start_mediation(df: DataFrame, out_path: str, checkpoint: str, trigger: str | None = "10 seconds",
-                    available_now: bool = False, fmt: str = "parquet") -> StreamingQuery:
+                    available_now: bool = False, fmt: str = "parquet", sink: str = "files") -> StreamingQuery:
     """Run the mediated stream into ``out_path`` with a checkpoint (offset
-    and commit logs give restart recovery)."""
-    w = (df.writeStream.foreachBatch(idempotent_batch_writer(out_path, fmt))
-         .option("checkpointLocation", checkpoint))
+    and commit logs give restart recovery).
+
+    ``sink="files"`` (default): Spark's file sink, exactly-once through its
+    own metadata log, one folder per event date (``event_date``), so readers
+    prune by date and no folder per micro-batch piles up.
+    ``sink="foreach_batch"``: each micro-batch goes through
+    ``idempotent_batch_writer`` -- the shape to use for external sinks
+    (e.g. a JDBC append) that need per-batch code.
+    """
+    if sink == "files":
+        event_date = F.to_date(F.expr("try_cast(timestamp AS TIMESTAMP)"))   # raw frames carry a string
+        w = (df.withColumn("event_date", event_date).writeStream.format(fmt)
+             .option("path", out_path).partitionBy("event_date").outputMode("append"))
+    elif sink == "foreach_batch":
+        w = df.writeStream.foreachBatch(idempotent_batch_writer(out_path, fmt))
+    else:
+        raise ValueError(f"unknown sink {sink!r}")
+    w = w.option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)
     return w.start()
 

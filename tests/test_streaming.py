@@ -24,7 +24,7 @@ def run(spark, log, out, ckpt, delay=SM.DEFAULT_DELAY):
         M.with_record_hash(M.validate(M.normalize_parties(decode_cdr(stream)))), delay))),
         out, ckpt, available_now=True)
     q.awaitTermination()
-    return spark.read.parquet(out).drop("batch_id")
+    return spark.read.parquet(out).drop("batch_id", "event_date")
 
 
 def test_stream_equals_batch(spark, scratch):
@@ -73,6 +73,19 @@ def test_replayed_batch_overwrites_its_output(spark, scratch):
     assert spark.read.parquet(out).count() == 3
 
 
+def test_file_sink_partitions_by_event_date(spark, scratch):
+    log, out, ckpt = scratch("log"), scratch("out"), scratch("ckpt")
+    write_log(spark, f"{log}/day=1", [rec(1), {**rec(2), "timestamp": "2024-01-06T08:00:00.000000Z"}])
+    q = SM.start_mediation(run_mediation(read_cdr_stream(spark, "text", log)), out, ckpt, available_now=True)
+    q.awaitTermination()
+    got = sorted(str(r[0]) for r in spark.read.parquet(out).select("event_date").distinct().collect())
+    assert got == ["2024-01-05", "2024-01-06"]
+    # replaying the same checkpoint writes nothing twice
+    q = SM.start_mediation(run_mediation(read_cdr_stream(spark, "text", log)), out, ckpt, available_now=True)
+    q.awaitTermination()
+    assert spark.read.parquet(out).count() == 2
+
+
 def test_null_event_time_goes_to_reject(spark):
     df = spark.createDataFrame([("2024-01-05T10:00:00Z",), ("garbage",), (None,)], "timestamp string")
     assert SM.null_time_rows(df).count() == 2
