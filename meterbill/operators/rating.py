@@ -21,13 +21,15 @@ def unprocessed(normalized: DataFrame, rated: DataFrame, since: dt.date | None =
     ``since`` (optional) bounds an incremental run: only CDRs from that day
     on are considered, and the rated side is cut to the same window plus
     the rows without a timestamp (unmatched rows keep only hash and msisdn,
-    so they are always kept). With the rated table stored by usage month
-    this prunes whole folders, so a run's anti join no longer shuffles the
-    entire history.
+    so they are always kept). With the normalized table stored by event
+    date and the rated table by usage month this prunes whole folders on
+    both sides, so a run's anti join no longer shuffles the entire history.
     """
     n = normalized.where(F.col("status") == STATUS_OK)
     if since is not None:
         n = n.where(F.col("timestamp") >= F.lit(since))
+        if "event_date" in normalized.columns:        # stream output stored by event date
+            n = n.where(F.col("event_date") >= F.lit(since))
         if "usage_month" in rated.columns:
             month = dt.date(since.year, since.month, 1)
             rated = rated.where(F.col("usage_month").isNull() | (F.col("usage_month") >= F.lit(month)))

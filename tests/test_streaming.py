@@ -99,3 +99,26 @@ def test_graceful_stop(spark, scratch):
     SM.stop(q, 2.0)
     assert not q.isActive
     assert spark.read.parquet(out).count() == 3
+
+
+def test_incremental_rating_prunes_stream_output_by_date(spark, scratch):
+    import datetime as dt
+    from meterbill.operators import rating as RT
+    from meterbill.schemas import RATED_CDR
+    from meterbill.sources.tables import empty_frame
+    from meterbill.sources.fixtures import product_rates
+    log, out, ckpt = scratch("log"), scratch("out"), scratch("ckpt")
+    write_log(spark, f"{log}/day=1", [rec(1), {**rec(2), "timestamp": "2024-01-20T08:00:00.000000Z"}])
+    SM.start_mediation(run_mediation(read_cdr_stream(spark, "text", log)), out, ckpt,
+                       available_now=True).awaitTermination()
+    normalized = spark.read.parquet(out)
+    cust = spark.createDataFrame([("212600000001", "n", "postpaid", "RP_BASIC", dt.date(2020, 1, 1), "active",
+                                   "RABAT", False)],
+                                 "customer_id string, customer_name string, subscription_type string, "
+                                 "rate_plan_id string, activation_date date, status string, region string, "
+                                 "is_student boolean")
+    out_rows = RT.rate(normalized, cust, product_rates(spark), empty_frame(spark, RATED_CDR),
+                       dt.date(2024, 1, 31), since=dt.date(2024, 1, 10))
+    assert out_rows.count() == 1
+    plan = out_rows._jdf.queryExecution().executedPlan().toString()
+    assert "event_date" in plan and "PartitionFilters: [isnotnull(event_date" in plan
