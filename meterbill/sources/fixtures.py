@@ -45,12 +45,40 @@ CATALOG_ROWS = [
 ]
 
 
+# Declared schemas of the driver tables read here (no inference at planning time).
+DRIVER_SCHEMAS = {
+    "customer": T.StructType([
+        T.StructField("c_custkey", T.LongType()), T.StructField("c_name", T.StringType()),
+        T.StructField("c_nationkey", T.IntegerType()), T.StructField("c_acctbal", T.DoubleType()),
+        T.StructField("c_mktsegment", T.StringType())]),
+    "orders": T.StructType([
+        T.StructField("o_orderkey", T.LongType()), T.StructField("o_custkey", T.LongType()),
+        T.StructField("o_orderstatus", T.StringType()), T.StructField("o_totalprice", T.DoubleType()),
+        T.StructField("o_orderdate", T.TimestampNTZType()), T.StructField("o_orderpriority", T.StringType())]),
+    "lineitem": T.StructType([
+        T.StructField("l_orderkey", T.LongType()), T.StructField("l_partkey", T.LongType()),
+        T.StructField("l_suppkey", T.LongType()), T.StructField("l_linenumber", T.IntegerType()),
+        T.StructField("l_quantity", T.DoubleType()), T.StructField("l_extendedprice", T.DoubleType()),
+        T.StructField("l_discount", T.DoubleType()), T.StructField("l_tax", T.DoubleType()),
+        T.StructField("l_returnflag", T.StringType()), T.StructField("l_linestatus", T.StringType()),
+        T.StructField("l_shipdate", T.TimestampNTZType())]),
+    "events": T.StructType([
+        T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
+        T.StructField("user_id", T.LongType()), T.StructField("event_type", T.StringType()),
+        T.StructField("value", T.DoubleType()), T.StructField("props", T.StringType())]),
+}
+
+
+def driver_table(spark: SparkSession, root: str, name: str, **kw) -> DataFrame:
+    return read_table(spark, root, name, schema=DRIVER_SCHEMAS.get(name), **kw)
+
+
 def customer_id_of(custkey: Column) -> Column:
     return F.concat(F.lit("2126"), F.lpad(custkey.cast("string"), 8, "0"))
 
 
 def customers(spark: SparkSession, root: str) -> DataFrame:
-    c = read_table(spark, root, "customer")
+    c = driver_table(spark, root, "customer")
     key, seg = F.col("c_custkey"), F.col("c_mktsegment")
     nation = F.col("c_nationkey") % 8
     return c.select(
@@ -95,7 +123,7 @@ def usage_fields(spark: SparkSession, root: str) -> DataFrame:
     arrival position (the event id)."""
     # per-record work here and in mediation (JSON encode/decode, hashing)
     # is CPU-heavy: make sure it is spread over the available task slots
-    e = spread(read_table(spark, root, "events"))
+    e = spread(driver_table(spark, root, "events"))
     k = F.get_json_object("props", "$.k").cast("int")
     etype = F.col("event_type")
     uid = F.col("user_id").cast("string")
@@ -155,7 +183,7 @@ def raw_messages(spark: SparkSession, root: str) -> DataFrame:
 
 def invoice_history(spark: SparkSession, root: str) -> DataFrame:
     """One invoice per customer-month from ``orders``."""
-    o = read_table(spark, root, "orders")
+    o = driver_table(spark, root, "orders")
     d42 = lambda v: F.lit(v).cast(T.DecimalType(4, 2))
     m = T.DecimalType(18, 2)
     g = (o.groupBy(F.col("o_custkey"), F.trunc(F.col("o_orderdate").cast("date"), "MM").alias("billing_period"))
@@ -178,8 +206,8 @@ def invoice_history(spark: SparkSession, root: str) -> DataFrame:
 
 def rated_history(spark: SparkSession, root: str) -> DataFrame:
     """Rated usage from ``lineitem`` joined to ``orders`` (the large table)."""
-    li = spread(read_table(spark, root, "lineitem"))
-    o = read_table(spark, root, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    li = spread(driver_table(spark, root, "lineitem"))
+    o = driver_table(spark, root, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     j = li.join(o, li.l_orderkey == o.o_orderkey)
     rt = (F.when(F.col("l_returnflag") == "A", "voice").when(F.col("l_returnflag") == "R", "data")
           .otherwise("sms"))

@@ -14,10 +14,13 @@ def table_path(root: str, name: str) -> str:
 
 def read_table(spark: SparkSession, root: str, name: str,
                where: str | Column | None = None, fmt: str = "parquet",
-               options: dict[str, str] | None = None) -> DataFrame:
+               options: dict[str, str] | None = None, schema: T.StructType | None = None) -> DataFrame:
     """Read a table; ``where`` is applied lazily so Catalyst pushes it into
-    the scan (parquet row-group statistics, JDBC WHERE clause)."""
+    the scan (parquet row-group statistics, JDBC WHERE clause). A declared
+    ``schema`` skips schema inference (no footer reads at planning time)."""
     reader = spark.read.format(fmt)
+    if schema is not None:
+        reader = reader.schema(schema)
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
     if fmt == "jdbc":

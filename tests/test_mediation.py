@@ -159,3 +159,13 @@ def test_out_of_order_per_source_partition(spark, monkeypatch):
     got = Q.out_of_order_count(df, "offset", "partition").collect()[0][0]
     want = sum(1 for ts in streams.values() for a, b in zip(ts, ts[1:]) if b < a)
     assert got == want
+
+
+def test_declared_driver_schemas_match_files(spark):
+    import os
+    from meterbill.sources.fixtures import DRIVER_SCHEMAS
+    for sf in ("sf0.001", "sf0.01", "sf0.1"):
+        for name, schema in DRIVER_SCHEMAS.items():
+            path = f"/root/testdata/{sf}/{name}.parquet"
+            if os.path.exists(path):
+                assert spark.read.parquet(path).schema.simpleString() == schema.simpleString(), (sf, name)
