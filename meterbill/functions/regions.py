@@ -109,8 +109,17 @@ def city_key(city: Column) -> Column:
     return F.upper(F.regexp_replace(city, _STRIP, ""))
 
 
+def _sql_str(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+# one map literal, built as a single SQL expression (one JVM call instead of
+# one per entry)
+_LOOKUP_SQL = "map(" + ", ".join(f"{_sql_str(k)}, {_sql_str(v)}" for k, v in sorted(REGION_BY_KEY.items())) + ")"
+
+
 def region_of(city: Column) -> Column:
-    lookup = F.create_map(*[F.lit(x) for kv in sorted(REGION_BY_KEY.items()) for x in kv])
+    lookup = F.expr(_LOOKUP_SQL)
     return (F.when(city.isNull(), F.lit(UNDEFINED_REGION))
             .otherwise(F.coalesce(F.try_element_at(lookup, city_key(city)), F.lit(OTHER_REGION))))
 
