@@ -180,3 +180,11 @@ def chunks(batch: pa.RecordBatch, text: str = "text", most_bytes: int = 8 << 20)
         total += int(s)
     if at < len(sizes):
         yield batch.slice(at)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, or ``name`` with underscores if the caller's table has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import decontamination
+from .decontamination import op3_decontamination
 from .packing import op6_packing
 from .sharding import op7_sharding
 from .token_files import op2_token_files
@@ -14,10 +16,13 @@ from .token_files import op2_token_files
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_token_files": op2_token_files,
+        "op3_decontamination": op3_decontamination,
         "op6_packing": op6_packing,
         "op7_sharding": op7_sharding,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op3_decontamination": decontamination.ORACLE_SQL,
+    }
