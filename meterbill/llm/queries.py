@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import decontamination
 from .decontamination import op3_decontamination
+from .ngram_join import op10_ngram_join
 from .packing import op6_packing
 from .sharding import op7_sharding
 from .token_files import op2_token_files
@@ -19,6 +20,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_decontamination": op3_decontamination,
         "op6_packing": op6_packing,
         "op7_sharding": op7_sharding,
+        "op10_ngram_join": op10_ngram_join,
     }
 
 
