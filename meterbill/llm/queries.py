@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import decontamination
 from .decontamination import op3_decontamination
+from .line_dedup import op8_line_dedup
 from .ngram_join import op10_ngram_join
 from .packing import op6_packing
 from .sharding import op7_sharding
@@ -20,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_decontamination": op3_decontamination,
         "op6_packing": op6_packing,
         "op7_sharding": op7_sharding,
+        "op8_line_dedup": op8_line_dedup,
         "op10_ngram_join": op10_ngram_join,
     }
 
