@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import decontamination
 from .decontamination import op3_decontamination
+from .language_id import op4_language_id
 from .line_dedup import op8_line_dedup
 from .ngram_join import op10_ngram_join
 from .packing import op6_packing
@@ -19,6 +20,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_token_files": op2_token_files,
         "op3_decontamination": op3_decontamination,
+        "op4_language_id": op4_language_id,
         "op6_packing": op6_packing,
         "op7_sharding": op7_sharding,
         "op8_line_dedup": op8_line_dedup,
