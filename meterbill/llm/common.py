@@ -59,6 +59,17 @@ class Scratch:
             path.getFileSystem(conf).delete(path, True)
 
 
+def worker_local(key: str, make):
+    """One object for all tasks that a Python worker process runs in turn."""
+    import sys
+    from types import ModuleType
+
+    held = sys.modules.setdefault("meterbill_worker_local", ModuleType("meterbill_worker_local")).__dict__
+    if key not in held:
+        held[key] = make()
+    return held[key]
+
+
 def held_out(doc_id: Column) -> Column:
     """The fold that no model learns from: crc32(doc_id as text) mod 5 = 0.
     A null id counts as the empty text, whose crc32 is 0: held out."""

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, chunks, texts_of
+from .common import Scratch, chunks, texts_of, worker_local
 
 END_ID = 2
 ROW_GROUP_BYTES = 32 << 20
@@ -46,8 +46,9 @@ WRITE_OPTIONS = {
     "parquet.enable.dictionary#n_tokens": "false",
     "compression": "zstd",
 }
-_LONG_WORD = 64          # longer words are encoded but not remembered
-_REMEMBERED = 400_000    # words a task remembers before it starts anew
+_REMEMBERED = 500_000    # words a worker remembers before it starts anew
+_TOGETHER = 2_000        # new words that the library gets in one text
+_TAIL = ".,!?;:"         # marks that often end a word
 _INNER_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -63,66 +64,135 @@ def load_tokenizer(path: str | None = None):
 
 
 class Encoder:
-    """``encode(text)`` = the library's ids of the whole text.
+    """Ids of whole texts, equal to the library's.
 
     Byte-level pre-tokenization never lets a token span the place before a
     single space that has no white space around it, so a text is encoded as
-    its space-led words, and repeated words are looked up. Texts that hold an
-    added token's string are given to the library whole.
+    its first word and its space-led words, and repeated words are looked up.
+    A new word of letters alone is one pre-token, which goes straight to the
+    library's BPE model, as do marks after it; other new words go to the whole
+    pipeline, many in one text, and are told apart by their first token, the
+    only one that starts with a space. Texts that hold an added token's string
+    are given to the library whole.
     """
 
-    def __init__(self, path: str | None = None):
+    def __init__(self, path: str | None, end_id: int):
         self.tok = load_tokenizer(path)
-        self.known: dict[str, list[int]] = {}
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-
-    def _parts(self, text: str) -> list[str] | None:
-        if any(s in text for s in self.special):
-            return None
-        parts = _INNER_SPACE.split(text) if "  " in text else text.split(" ")
-        return [parts[0], *(" " + p for p in parts[1:])]
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        if len(self.known) > _REMEMBERED:
-            self.known = {}
-        known = self.known
-        split = [self._parts(t) for t in texts]
-        new = list({p for parts in split if parts for p in parts if p not in known})
-        long = {}
-        for i in range(0, len(new), 4096):
-            some = new[i:i + 4096]
-            for p, e in zip(some, self.tok.encode_batch_fast(some, add_special_tokens=False)):
-                (known if len(p) <= _LONG_WORD else long)[p] = e.ids
-        out = []
+        vocabulary = self.tok.get_vocab()
+        self.space_led = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.space_led[[i for t, i in vocabulary.items() if t.startswith("\u0120")]] = True
+        self.end_id = end_id
+        # the byte-level alphabet: printable bytes stand for themselves, the
+        # others for the characters from 256 on
+        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = [b for b in range(256) if b not in printable]
+        self.alphabet = {b: chr(256 + i) for i, b in enumerate(others)}
+        self.clear()
+
+    def clear(self) -> None:
+        self.words: dict[str, int] = {}       # word after a space -> entry
+        self.heads: dict[str, int] = {}       # first word of a text -> entry
+        self.pool = [np.array([self.end_id], np.int32)]
+        self.lengths = [np.array([1])]        # entry 0: the end id
+        self.n = 1
+
+    def _add(self, ids: np.ndarray, lengths: np.ndarray) -> range:
+        self.pool.append(ids)
+        self.lengths.append(lengths)
+        self.n += len(lengths)
+        return range(self.n - len(lengths), self.n)
+
+    def _encode_each(self, texts: list[str]) -> range:
+        found = [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+        return self._add(np.array([i for ids in found for i in ids], np.int32), np.array([len(ids) for ids in found], np.int64))
+
+    def _learn_plain(self, words: list[str]) -> list[str]:
+        """Take in the words of letters (and marks after them); returns the others."""
+        tokenize, alphabet = self.tok.model.tokenize, self.alphabet
+        marks: dict[str, list[int]] = {"": []}
+        done, ids, counts, rest = [], [], [], []
+        for w in words:
+            core = w.rstrip(_TAIL)
+            if not core.isalpha():
+                rest.append(w)
+                continue
+            tail = w[len(core):]
+            if tail not in marks:
+                marks[tail] = [t.id for t in tokenize(tail)]
+            if not core.isascii():
+                core = core.encode().decode("latin-1").translate(alphabet)
+            found = [t.id for t in tokenize("\u0120" + core)] + marks[tail]
+            done.append(w)
+            ids += found
+            counts.append(len(found))
+        self.words.update(zip(done, self._add(np.array(ids, np.int32), np.array(counts, np.int64))))
+        return rest
+
+    def _learn(self, words: list[str]) -> None:
+        for i in range(0, len(words), _TOGETHER):
+            some = words[i:i + _TOGETHER]
+            text = " " + " ".join(some)
+            ids = np.array(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
+            begin = np.flatnonzero(self.space_led[ids])
+            plain = len(begin) == len(some)   # else some word holds a space that leads a token
+            entries = self._add(ids, np.diff(np.append(begin, len(ids)))) if plain else self._encode_each([" " + w for w in some])
+            self.words.update(zip(some, entries))
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids in order, and the number of ids of each text (end id included)."""
+        if self.n > _REMEMBERED:
+            self.clear()
+        split: list = []
+        for text in texts:
+            if any(s in text for s in self.special):
+                split.append(None)
+            else:
+                split.append(_INNER_SPACE.split(text) if "  " in text else text.split(" "))
+        parted = [p for p in split if p]
+        heads = list({p[0] for p in parted} - self.heads.keys())
+        self.heads.update(zip(heads, self._encode_each(heads)))
+        known = self.words
+        new = self._learn_plain([w for w in set().union(*parted) if w not in known])
+        # white space at an end of a word would meet that of its neighbour
+        edged = [w for w in new if not w or w[0].isspace() or w[-1].isspace()]
+        self.words.update(zip(edged, self._encode_each([" " + w for w in edged])))
+        self._learn([w for w in new if w not in known])
+        entries: list[int] = []
+        counts = []
         for text, parts in zip(texts, split):
             if parts is None:
-                out.append(self.tok.encode(text, add_special_tokens=False).ids)
-                continue
-            ids: list[int] = []
-            for p in parts:
-                ids += known[p] if p in known else long[p]
-            out.append(ids)
-        return out
+                ids = np.array(self.tok.encode(text, add_special_tokens=False).ids, np.int32)
+                entries.extend(self._add(ids, np.array([len(ids)])))
+                counts.append(2)
+            else:
+                entries.append(self.heads[parts[0]])
+                entries.extend(map(known.__getitem__, parts[1:]))
+                counts.append(len(parts) + 1)
+            entries.append(0)
+        self.pool, self.lengths = [np.concatenate(self.pool)], [np.concatenate(self.lengths)]
+        pool, lengths = self.pool[0], self.lengths[0]
+        starts = np.cumsum(lengths) - lengths
+        flat = np.array(entries, np.int64)
+        sizes = lengths[flat]
+        ends = np.cumsum(sizes)
+        ids = pool[np.repeat(starts[flat] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
+        return ids, np.diff(np.concatenate([[0], ends[np.cumsum(counts, dtype=np.int64) - 1]]))
 
 
 def _encode_batches(path: str | None, end_id: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = Encoder(path)
+        encoder = worker_local(f"encoder {path} {end_id}", lambda: Encoder(path, end_id))
         place = 0                                       # ids of this file so far
         for batch in batches:
-            for part in chunks(batch, most_bytes=2 << 20):
-                ids = encoder.encode(texts_of(part))
-                lengths = np.array([len(x) + 1 for x in ids], np.int64)
-                flat = np.empty(int(lengths.sum()), np.int32)
+            for part in chunks(batch, most_bytes=4 << 20):
+                ids, lengths = encoder.encode(texts_of(part))
                 offsets = np.concatenate([[0], np.cumsum(lengths)])
-                for x, a in zip(ids, offsets):
-                    flat[a:a + len(x)] = x
-                flat[offsets[1:] - 1] = end_id
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("part"), pa.array(place + offsets[:-1]), pa.array(lengths),
-                     pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat))],
+                     pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))],
                     ["doc_id", "part", "place", "n_tokens", "ids"])
                 place += int(offsets[-1])
     return run
