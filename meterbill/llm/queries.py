@@ -12,15 +12,19 @@ from .language_id import op4_language_id
 from .line_dedup import op8_line_dedup
 from .ngram_join import op10_ngram_join
 from .packing import op6_packing
+from .quality import op5_quality
 from .sharding import op7_sharding
 from .token_files import op2_token_files
+from .toxicity import op1_toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_toxicity": op1_toxicity,
         "op2_token_files": op2_token_files,
         "op3_decontamination": op3_decontamination,
         "op4_language_id": op4_language_id,
+        "op5_quality": op5_quality,
         "op6_packing": op6_packing,
         "op7_sharding": op7_sharding,
         "op8_line_dedup": op8_line_dedup,
