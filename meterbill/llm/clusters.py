@@ -85,13 +85,12 @@ def components(scratch: Scratch, edges: DataFrame, name: str = "cc") -> DataFram
         now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
-def spanning_links(members: DataFrame, search: Callable[[list, dict], list[tuple[int, int]]], limit: int) -> DataFrame:
-    """Links ``a, b`` between the ``node`` values of equal ``grp``.
+def deal(members: DataFrame, limit: int) -> DataFrame:
+    """Where each member meets the others of its group: ``members`` (grp, node,
+    weight, ...) of groups of two or more, with ``meets``, an array of (i, j).
 
-    ``members``: grp, node, weight, payload. ``search(payloads)`` returns links
-    between positions that span its components; it is called for whole groups
-    of at most ``limit`` weight, else for every two chunks of about half that."""
-    kind = dict(members.dtypes)["node"]
+    A group of at most ``limit`` weight meets as a whole in (0, 0); of a larger
+    one every two chunks (i, j) of about half that weight meet."""
     totals = members.groupBy("grp").agg(F.sum("weight").alias("w"), F.count("*").alias("n")).where("n > 1")
     totals = totals.select("grp", F.when(F.col("w") <= limit, 1).otherwise(
         F.ceil(2 * F.col("w") / limit).cast("int")).alias("parts"))
@@ -99,9 +98,16 @@ def spanning_links(members: DataFrame, search: Callable[[list, dict], list[tuple
     meets = F.when(F.col("parts") == 1, F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))).otherwise(
         F.transform(F.array_remove(F.sequence(F.lit(0), F.col("parts") - 1), F.col("chunk")),
                     lambda o: F.struct(F.least(o, F.col("chunk")).alias("i"), F.greatest(o, F.col("chunk")).alias("j"))))
-    dealt = (members.join(totals, "grp").withColumn("chunk", chunk)
-             .withColumn("meet", F.explode(meets)).select("grp", "meet.i", "meet.j", "node", "payload"))
-    return (dealt.repartition("grp", "i", "j").sortWithinPartitions("grp", "i", "j")
+    return members.join(totals, "grp").withColumn("chunk", chunk).withColumn("meets", meets).drop("chunk", "parts")
+
+
+def spanning_links(dealt: DataFrame, search: Callable[[list], list[tuple[int, int]]]) -> DataFrame:
+    """Links ``a, b`` between the ``node`` values that meet: ``dealt`` holds
+    grp, node, payload and ``meets``. ``search(payloads)`` returns links between
+    positions that span the components of what it is given."""
+    kind = dict(dealt.dtypes)["node"]
+    rows = dealt.select("grp", "node", "payload", F.explode("meets").alias("meet")).select("grp", "meet.i", "meet.j", "node", "payload")
+    return (rows.repartition("grp", "i", "j").sortWithinPartitions("grp", "i", "j")
             .mapInArrow(_search_runs(search), f"a {kind}, b {kind}").distinct())
 
 

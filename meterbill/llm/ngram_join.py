@@ -7,9 +7,10 @@ form components.
 1. Equal sets are one class; classes are searched, copies follow them.
 2. Shingles that many documents hold are counted over all documents, so that
    every set can be ordered from rare to frequent. With ``T = ceil(t * size)``
-   the least overlap, two linked sets share one of their ``size - T + 1``
+   the least overlap, two linked sets share ``l`` of their ``size - T + l``
    rarest shingles: the short inverted lists. Long lists never bring sets together.
-3. Sets that meet in a short list form candidate groups. In a group, inverted
+3. A set stays a candidate while at least ``l`` of these shingles occur in
+   another set's. Candidates that meet in a short list form groups. In a group, inverted
    lists are built and each set asks for those that occur in at least T of its
    lists: the short lists are merged by a heap, survivors of ``T - L`` are
    probed by binary search in the ``L`` long lists, and the exact overlap decides.
@@ -36,13 +37,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .clusters import Forest, components, spanning_links
+from .clusters import Forest, components, deal, spanning_links
 from .common import Scratch, chunks, fresh, mix64, shingle_sets, text_key, texts_of
 
 MAX_COUNTED = 1_000_000       # rows of the broadcast table of frequent shingles
 MAX_BROADCAST_DOCS = 2_000_000
 _FLUSH = 2_000_000            # shingles a task holds before it counts them
 _TASK_SHINGLES = 1_500_000    # shingles that meet in one search task
+_LEAD = 50                    # l is one of so many shingles of a set (at least 1)
 _MU = 0.01                    # cost of a probe against a heap step
 
 
@@ -107,28 +109,34 @@ def _describe(k: int, num: int, den: int, frequent) -> Callable:
                 order = np.lexsort((mix64(tokens), rank, owner))
                 begin = np.cumsum(sizes) - sizes
                 place = np.arange(len(tokens)) - begin[owner]
-                wanted = np.where(sizes > 0, sizes - (-(-num * sizes // den)) + 1, 0)
+                overlap = -(-num * sizes // den)
+                wanted = np.where(sizes > 0, np.minimum(sizes, sizes - overlap + np.maximum(1, sizes // _LEAD)), 0)
+                least = np.maximum(1, overlap // _LEAD)       # l of the smallest set it can link to
                 keep = place < wanted[owner]
                 prefix = tokens[order][keep].view(np.int64)
                 offsets = np.concatenate([[0], np.cumsum(wanted)]).astype(np.int32)
                 sigs = [hashlib.blake2b(tokens[b:b + s].tobytes(), digest_size=16).digest() for b, s in zip(begin, sizes)]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("key"), pa.array(sigs, pa.binary()), pa.array(sizes, pa.int64()),
-                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(prefix))],
-                    ["doc_id", "key", "sig", "size", "prefix"])
+                     pa.array(least, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(prefix))],
+                    ["doc_id", "key", "sig", "size", "least", "prefix"])
     return run
 
 
 def _sets(k: int) -> Callable:
+    """The sets of wanted documents; a document that is repeated comes once a task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
         for batch in batches:
             for part in chunks(batch):
+                sigs = part.column("sig").to_pylist()
+                part = part.take(pa.array([i for i, x in enumerate(sigs) if x not in seen and not seen.add(x)], pa.int64()))
                 tokens, sizes = shingle_sets(texts_of(part), k)
                 offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("grp"), part.column("sig"), pa.array(sizes, pa.int64()),
+                    [part.column("grp"), part.column("sig"), part.column("meets"),
                      pa.ListArray.from_arrays(pa.array(offsets), pa.array(tokens.view(np.int64)))],
-                    ["grp", "node", "weight", "payload"])
+                    ["grp", "node", "meets", "payload"])
     return run
 
 
@@ -203,6 +211,21 @@ def divide_skip(num: int, den: int) -> Callable:
     return search
 
 
+def _hubs(lists: DataFrame) -> DataFrame:
+    return lists.groupBy("token").agg(F.min("node").alias("hub"), F.max("node").alias("far")).where("hub <> far")
+
+
+def _shared(lists: DataFrame) -> DataFrame:
+    """Rows of the inverted lists (token, node) that hold two or more nodes."""
+    return lists.join(_hubs(lists).select("token"), "token")
+
+
+def _stars(lists: DataFrame) -> DataFrame:
+    """Each list as links to its smallest node."""
+    return (lists.join(_hubs(lists), "token").where("node <> hub")
+            .select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct())
+
+
 def link_documents(spark: SparkSession, docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
                    name: str = "ngram") -> DataFrame:
     """One row for each row of ``docs``: ``doc_id, key, n_shingles,
@@ -210,29 +233,36 @@ def link_documents(spark: SparkSession, docs: DataFrame, k: int = 5, num: int =
     scratch = Scratch(spark, name)
     frequent = spark.sparkContext.broadcast(frequent_shingles(docs, k))     # at most MAX_COUNTED rows
     keyed = docs.select("doc_id", text_key(F.col("text")).alias("key"), "text")
-    sets = scratch.write(keyed.mapInArrow(_describe(k, num, den, frequent),
-                                          "doc_id long, key long, sig binary, size long, prefix array<long>"), "sets")
+    sets = scratch.write(keyed.mapInArrow(
+        _describe(k, num, den, frequent),
+        "doc_id long, key long, sig binary, size long, least long, prefix array<long>"), "sets")
 
     # classes of equal sets; ids of 64 bits are enough to bring sets together, links are verified
     filled = sets.where("size > 0")
     classes = scratch.write(filled.groupBy("sig").agg(
-        F.min(F.struct("doc_id", "key")).alias("first"), F.min("doc_id").alias("least_id")), "classes")
-    lists = (filled.select(F.xxhash64("sig").alias("node"), F.explode("prefix").alias("token")))
-    hubs = lists.groupBy("token").agg(F.min("node").alias("hub"), F.max("node").alias("far")).where("hub <> far")
-    stars = lists.join(hubs, "token").where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
+        F.min(F.struct("doc_id", "key")).alias("first"), F.min("doc_id").alias("least_id"), F.first("size").alias("size")), "classes")
+    lists = filled.select(F.xxhash64("sig").alias("node"), "least", F.explode("prefix").alias("token"))
+    shared = _shared(lists.select("token", "node"))
+    # copies of a set count its shingles together: as many for each of them
+    counts = shared.groupBy("node").agg(F.countDistinct("token").alias("n"))
+    needs = filled.groupBy(F.xxhash64("sig").alias("node")).agg(F.min("least").alias("least"))
+    candidates = counts.join(needs, "node").where("n >= least").select("node")
+    lists = scratch.write(shared.join(candidates, "node", "left_semi").distinct(), "lists")
+    stars = _stars(lists)
     groups = scratch.write(components(scratch, stars, "near").select(F.col("node").alias("n64"), F.col("root").alias("grp")), "groups")
+    scratch.drop("lists")
 
-    wanted = scratch.write(classes.withColumn("n64", F.xxhash64("sig")).join(groups, "n64").select(
-        "grp", "sig", F.col("first.doc_id").alias("want_id"), F.col("first.key").alias("want_key")), "wanted")
+    members = classes.withColumn("n64", F.xxhash64("sig")).join(groups, "n64").select(
+        "grp", F.col("sig").alias("node"), F.col("size").alias("weight"), "first")
+    wanted = scratch.write(deal(members, _TASK_SHINGLES).select(
+        "grp", F.col("node").alias("sig"), "meets", F.col("first.doc_id").alias("want_id"), F.col("first.key").alias("want_key")), "wanted")
     few = wanted.count() <= MAX_BROADCAST_DOCS
     texts = keyed.join(F.broadcast(wanted) if few else wanted,
                        keyed["doc_id"].eqNullSafe(F.col("want_id")) & (keyed["key"] == F.col("want_key")))
-    kind = dict(wanted.dtypes)["grp"]
-    # identical rows of a wanted document come once: equal (group, sig)
-    members = texts.select("grp", "sig", "text").mapInArrow(_sets(k), f"grp {kind}, node binary, weight long, payload array<long>")
-    members = scratch.write(members, "members").dropDuplicates(["grp", "node"])
-    links = scratch.write(spanning_links(members, divide_skip(num, den), _TASK_SHINGLES), "links")
-    scratch.drop("members", "wanted", "groups")
+    found = texts.select("grp", "sig", "meets", "text").mapInArrow(
+        _sets(k), "grp long, node binary, meets array<struct<i:int,j:int>>, payload array<long>")
+    links = scratch.write(spanning_links(found, divide_skip(num, den)).where("a <> b"), "links")
+    scratch.drop("wanted", "groups")
     labels = components(scratch, links, "linked")
 
     named = classes.select("sig", "least_id").join(labels.withColumnRenamed("node", "sig"), "sig")
