@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import decontamination
+from .curves import op9_nearest
 from .decontamination import op3_decontamination
 from .language_id import op4_language_id
 from .line_dedup import op8_line_dedup
@@ -28,6 +29,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_packing": op6_packing,
         "op7_sharding": op7_sharding,
         "op8_line_dedup": op8_line_dedup,
+        "op9_nearest": op9_nearest,
         "op10_ngram_join": op10_ngram_join,
     }
 
