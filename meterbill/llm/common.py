@@ -49,6 +49,8 @@ class Scratch:
         of executors."""
         path = self.path(name)
         df.write.mode("overwrite").options(**options).parquet(path)
+        # what led here is not needed again: let the cleaner find its shuffle files
+        self.spark.sparkContext._jvm.System.gc()
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:
@@ -107,6 +109,20 @@ def _inverse(a: int) -> int:
     return pow(a, -1, 1 << 64)
 
 
+_POWERS: list[np.ndarray] = []
+
+
+def _powers(n: int) -> list[np.ndarray]:
+    """Powers 0..n of the base and of its inverse (kept for the next call)."""
+    if not _POWERS or len(_POWERS[0]) <= n:
+        made = []
+        for base in (_BASE, np.uint64(_inverse(int(_BASE)))):
+            power = np.full(n + n // 4 + 1, base, np.uint64)
+            power[0] = 1
+            made.append(np.multiply.accumulate(power))
+        _POWERS[:] = made
+    return _POWERS
+
 
 def segment_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """64-bit hash of each byte range ``buf[start:end]`` (polynomial over a
@@ -114,14 +130,9 @@ def segment_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nd
     n = len(buf)
     if not len(start):
         return np.zeros(0, np.uint64)
-    power = np.full(n + 1, _BASE, np.uint64)
-    power[0] = 1
-    np.multiply.accumulate(power, out=power)
+    power, back = _powers(n)
     prefix = np.zeros(n + 1, np.uint64)
     np.cumsum(_BYTE[buf] * power[:n], out=prefix[1:])
-    back = np.full(n + 1, np.uint64(_inverse(int(_BASE))), np.uint64)
-    back[0] = 1
-    np.multiply.accumulate(back, out=back)
     h = (prefix[end] - prefix[start]) * back[start]
     return mix64(h + (end - start).astype(np.uint64) * _ODD[0])
 
