@@ -268,49 +268,67 @@ def learn(spark: SparkSession, docs: DataFrame, pieces: list[str]) -> tuple[list
     return langs, counts / counts.sum(axis=0)
 
 
+class Scorer:
+    """Language and posterior of texts; tokens are looked up once."""
+
+    def __init__(self, pieces: list[str], langs: list[str], prob: np.ndarray):
+        self.lattice, self.langs = Lattice(pieces), langs
+        self.prob = self.lattice.scaled(prob)
+        self.known: dict[str, int] = {}                       # token -> row of logs
+        self.logs = np.zeros((0, len(langs)), np.float32)
+
+    def _learn(self, tokens: list[str]) -> None:
+        split = [words_of_token(t) for t in tokens]
+        at = {w: i for i, w in enumerate(dict.fromkeys(w for ws in split for w in ws))}
+        each = self.lattice.log_probability(list(at), self.prob)
+        sums = np.zeros((len(tokens), len(self.langs)))
+        np.add.at(sums, np.repeat(np.arange(len(tokens)), [len(ws) for ws in split]),
+                  each[np.array([at[w] for ws in split for w in ws], np.int64)])
+        self.known.update(zip(tokens, range(len(self.known), len(self.known) + len(tokens))))
+        self.logs = np.concatenate([self.logs, sums.astype(np.float32)])
+
+    def predict(self, texts: list[str]) -> tuple[list[str], list[float]]:
+        docs = [t.split() for t in texts]
+        if len(self.known) > _REMEMBERED:
+            self.known, self.logs = {}, self.logs[:0]
+        new = [w for w in set().union(*docs) if w not in self.known]
+        if new and self.langs:
+            self._learn(new)
+        preds, scores = [], []
+        for text, doc in zip(texts, docs):
+            if not self.langs or not any(map(str.isalpha, text)):
+                preds.append("und")
+                scores.append(0.0)
+                continue
+            total = self.logs[list(map(self.known.__getitem__, doc))].sum(axis=0, dtype=np.float64)
+            best = int(np.argmax(total))
+            preds.append(self.langs[best])
+            scores.append(float(1 / np.exp(total - total[best]).sum()))
+        return preds, scores
+
+
 def _predict(model) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, langs, prob = model.value
-        lattice = Lattice(pieces)
-        prob = lattice.scaled(prob)
-        known: dict[str, int] = {}                            # token -> row of logs
-        logs = np.zeros((0, len(langs)), np.float32)
-
-        def learned(tokens: list[str]) -> np.ndarray:
-            split = [words_of_token(t) for t in tokens]
-            at = {w: i for i, w in enumerate(dict.fromkeys(w for ws in split for w in ws))}
-            each = lattice.log_probability(list(at), prob)
-            sums = np.zeros((len(tokens), len(langs)))
-            np.add.at(sums, np.repeat(np.arange(len(tokens)), [len(ws) for ws in split]),
-                      each[np.array([at[w] for ws in split for w in ws], np.int64)])
-            return sums.astype(np.float32)
-
+        scorer = Scorer(*model.value)
         for batch in batches:
             for part in chunks(batch):
-                texts = texts_of(part)
-                docs = [t.split() for t in texts]
-                if len(known) > _REMEMBERED:
-                    known, logs = {}, logs[:0]
-                new = list({w for doc in docs for w in doc if w not in known})
-                if new and langs:
-                    known.update(zip(new, range(len(known), len(known) + len(new))))
-                    logs = np.concatenate([logs, learned(new)])
-                preds, scores = [], []
-                for text, doc in zip(texts, docs):
-                    if not langs or not any(map(str.isalpha, text)):
-                        preds.append("und")
-                        scores.append(0.0)
-                        continue
-                    total = logs[list(map(known.__getitem__, doc))].sum(axis=0, dtype=np.float64)
-                    best = int(np.argmax(total))
-                    preds.append(langs[best])
-                    scores.append(float(1 / np.exp(total - total[best]).sum()))
+                preds, scores = scorer.predict(texts_of(part))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("key"), pa.array(preds, pa.string()), pa.array(scores, pa.float64())],
                     ["doc_id", "key", "lang_pred", "score"])
     return run
 
 
+def _accept(model, least: float) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(*model.value)
+        for batch in batches:
+            for part in chunks(batch):
+                preds, scores = scorer.predict(texts_of(part))
+                yield part.filter(pa.array([p != "und" and s >= least for p, s in zip(preds, scores)], pa.bool_()))
+    return run
+
+
 def predict(spark: SparkSession, docs: DataFrame, model: tuple, pieces: list[str]) -> DataFrame:
     """``doc_id, key, lang_pred, score`` of each row (key: the text's hash)."""
     shared = spark.sparkContext.broadcast((pieces, *model))   # pieces x languages numbers
@@ -318,6 +336,15 @@ def predict(spark: SparkSession, docs: DataFrame, model: tuple, pieces: list[str
     return rows.mapInArrow(_predict(shared), "doc_id long, key long, lang_pred string, score double")
 
 
+def accept(spark: SparkSession, docs: DataFrame, least: float = 0.5, vocabulary: str | None = None) -> DataFrame:
+    """``docs`` without the documents whose language cannot be told: no letter,
+    or a posterior below ``least``. Learns like ``identify``."""
+    pieces = load_pieces(vocabulary)
+    model = learn(spark, docs.where(~held_out(F.col("doc_id"))), pieces)
+    shared = spark.sparkContext.broadcast((pieces, *model))
+    return docs.mapInArrow(_accept(shared, least), docs.schema)
+
+
 def identify(spark: SparkSession, docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """Learn from the rows that are not held out and predict every row."""
     pieces = load_pieces(vocabulary)

@@ -19,6 +19,12 @@ from .token_files import op2_token_files
 from .toxicity import op1_toxicity
 
 
+def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline                     # the top of the repository is on the path
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
@@ -31,6 +37,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_line_dedup": op8_line_dedup,
         "op9_nearest": op9_nearest,
         "op10_ngram_join": op10_ngram_join,
+        "pipeline": _pipeline,
     }
 
 
