@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterbill.functions.money import as_money, as_price, dlit
-from meterbill.schemas import DEFAULT_TARIFF, HOME_PREFIX, LOYALTY_TAG, STUDENT_TAG, TariffRules
+from meterbill.schemas import DEFAULT_TARIFF, HOME_PREFIX, LOYALTY_TAG, MONEY, STUDENT_TAG, TariffRules
 
 ONE = "1.00"
+VOLUME = T.DecimalType(24, 6)
 
 
 def event_hour(ts: Column) -> Column:
@@ -53,7 +54,14 @@ def voice_cost(duration: Column, price: Column, hour: Column, weekday: Column,
 
 
 def data_cost(volume_mb: Column, price: Column) -> Column:
-    return as_money(F.coalesce(volume_mb.cast(T.DecimalType(12, 2)) * as_price(price), F.lit(0)))
+    """Volume to the byte (6 decimals of a MB). NULL where the volume or its
+    price is too large for the money type: such a record cannot be priced."""
+    amount = (volume_mb.try_cast(VOLUME) * as_price(price)).try_cast(MONEY)
+    return F.when(volume_mb.isNull() | price.isNull(), as_money(F.lit(0))).otherwise(amount)
+
+
+def is_priceable(record_type: Column, volume_mb: Column, price: Column) -> Column:
+    return F.coalesce(record_type != "data", F.lit(True)) | data_cost(volume_mb, price).isNotNull()
 
 
 def sms_cost(price: Column) -> Column:

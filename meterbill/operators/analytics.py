@@ -47,21 +47,25 @@ def revenue_daily(invoices: DataFrame, as_of, days: int = 30) -> DataFrame:
             .orderBy("date"))
 
 
-def top_customers(customers: DataFrame, invoices: DataFrame, as_of, n: int = 10,
-                  months: int = 6) -> DataFrame:
-    """Active customers by spend over the last ``months``; spend > 0; top n
-    with customer_id as the tie-break."""
+def customer_value(customers: DataFrame, invoices: DataFrame, as_of, months: int = 6) -> DataFrame:
+    """Spend and invoices of every active customer over the last ``months``; spend > 0."""
     start = add_months(to_date(as_of), -months)
     per_customer = (invoices.where(_since("billing_period", start))
                     .groupBy("customer_id")
                     .agg(F.sum("total_final_cost").alias("_spent"),
                          F.count("invoice_id").alias("total_invoices")))
     active = customers.where(F.col("status") == "active").select("customer_id")
-    ranked = (per_customer.join(active, "customer_id", "left_semi")
-              .where(F.col("_spent") > 0)
-              .select("customer_id", out_money(F.col("_spent")).alias("total_spent"), "total_invoices",
-                      out_ratio(F.col("_spent"), F.col("total_invoices")).alias("avg_invoice")))
-    return ranked.orderBy(F.desc("total_spent"), F.asc("customer_id")).limit(n)
+    return (per_customer.join(active, "customer_id", "left_semi")
+            .where(F.col("_spent") > 0)
+            .select("customer_id", out_money(F.col("_spent")).alias("total_spent"), "total_invoices",
+                    out_ratio(F.col("_spent"), F.col("total_invoices")).alias("avg_invoice")))
+
+
+def top_customers(customers: DataFrame, invoices: DataFrame, as_of, n: int = 10,
+                  months: int = 6) -> DataFrame:
+    """The n customers of the largest spend, customer_id as the tie-break."""
+    value = customer_value(customers, invoices, as_of, months)
+    return value.orderBy(F.desc("total_spent"), F.asc("customer_id")).limit(n)
 
 
 def billing_stats(invoices: DataFrame) -> DataFrame:
@@ -188,24 +192,25 @@ def region_monthly(invoices: DataFrame, customers: DataFrame, as_of, months: int
                  F.count(F.lit(1)).alias("active_customers")))
 
 
-def top_regions(region_stats: DataFrame, n: int = 5) -> DataFrame:
-    return region_stats.orderBy(F.desc("total_revenue"), F.asc("region")).limit(n).select("region")
-
-
-def top_region_series(monthly: DataFrame, region_stats: DataFrame, n: int = 5) -> DataFrame:
-    """Monthly rows of the n top regions (semi join against n rows)."""
-    return monthly.join(F.broadcast(top_regions(region_stats, n)), "region", "left_semi")
+def top_region_series(monthly: DataFrame, n: int = 5) -> DataFrame:
+    """Monthly rows of the n regions of the largest revenue over these months.
+    Totals and ranks are windows over the monthly rows (months x regions)."""
+    total = F.round(F.sum("monthly_revenue").over(Window.partitionBy("region")), 2)
+    rank = F.dense_rank().over(Window.orderBy(F.desc("_total"), F.asc("region")))
+    return (monthly.withColumn("_total", total).withColumn("_rank", rank)
+            .where(F.col("_rank") <= n).drop("_total", "_rank"))
 
 
 def region_performance(invoices: DataFrame, customers: DataFrame, rated: DataFrame, as_of,
-                       months: int = 6, cities: int = 10, parity: bool = False) -> DataFrame:
+                       months: int = 6, cities: int | None = None, parity: bool = False) -> DataFrame:
     """Revenue and per-service usage by region for the last ``months``.
 
     Usage is pre-aggregated per customer-month and joined to the invoice of
     that month, so each invoice is counted once. ``parity=True`` reproduces
     the original fan-out, where an invoice's amount is counted once per
     matching usage record, without materialising that fan-out.
-    The top ``cities`` by revenue are kept before regrouping by region.
+    ``cities`` (optional) keeps the top cities by revenue before regrouping by
+    region; by default every city counts.
     """
     start = add_months(to_date(as_of), -months)
     rt = F.col("record_type")
@@ -233,8 +238,9 @@ def region_performance(invoices: DataFrame, customers: DataFrame, rated: DataFra
                  F.sum("_rows").alias("_rows"), F.max("_last").alias("last_billing_period"),
                  *[F.coalesce(F.sum(c), F.lit(0)).alias(c)
                    for c in ["_vrev", "_srev", "_drev", "_vsec", "_sms", "_mb"]])
-            .where(F.col("_rev") > 0)
-            .orderBy(F.desc("_rev"), F.asc_nulls_first("city")).limit(cities))
+            .where(F.col("_rev") > 0))
+    if cities is not None:
+        city = city.orderBy(F.desc("_rev"), F.asc_nulls_first("city")).limit(cities)
     return (city.groupBy(region_of(F.col("city")).alias("region"))
             .agg(F.sum("total_customers").cast("bigint").alias("total_customers"),
                  out_money(F.sum("_rev")).alias("total_revenue"),

@@ -34,10 +34,10 @@ def billable_usage(rated: DataFrame, period: dt.date) -> DataFrame:
     """Rated (not unmatched) records of the month; a range predicate on the
     timestamp so file statistics prune, plus -- when the table is stored by
     usage month -- a predicate on that partition column so only the month's
-    folder (and rows whose month is unknown) is listed and read."""
+    folder is listed and read (rows without a month have no timestamp)."""
     cond = (F.col("rating_status") == RATED) & in_period(F.col("timestamp"), period)
     if "usage_month" in rated.columns:
-        cond = cond & (F.col("usage_month").isNull() | (F.col("usage_month") == F.lit(period)))
+        cond = cond & (F.col("usage_month") == F.lit(period))
     return rated.where(cond)
 
 
@@ -159,9 +159,13 @@ def generate_invoices(customers: DataFrame, rates: DataFrame, rated: DataFrame,
     total_discount = discounts + free-unit credit; each rounded to 2.
 
     invoice_id is a 64-bit hash of (customer, period): stable across
-    re-runs and computed without a global ordering step.
+    re-runs and computed without a global ordering step. The key of the table
+    is (customer_id, billing_period).
     """
-    t = invoice_terms(customers, rates, rated, invoices, as_of, rules)
+    return invoices_of(invoice_terms(customers, rates, rated, invoices, as_of, rules))
+
+
+def invoices_of(t: DataFrame) -> DataFrame:
     r2 = lambda c: F.round(c, 2).cast(INVOICE_MONEY)
     return t.select(
         F.xxhash64("customer_id", "billing_period").alias("invoice_id"),
@@ -178,7 +182,10 @@ def invoice_documents(customers: DataFrame, rates: DataFrame, rated: DataFrame,
                       as_of, rules: BillingRules = DEFAULT_BILLING) -> DataFrame:
     """One nested document per customer-month; every amount is rounded from
     its unrounded term (so the parts need not add up after rounding)."""
-    t = invoice_terms(customers, rates, rated, invoices, as_of, rules)
+    return documents_of(invoice_terms(customers, rates, rated, invoices, as_of, rules), rules)
+
+
+def documents_of(t: DataFrame, rules: BillingRules = DEFAULT_BILLING) -> DataFrame:
     d = lambda c: F.round(c, 2).cast("double")
     line = lambda x: F.struct(
         x["total_usage"].cast("double").alias("total_usage"),
@@ -247,6 +254,28 @@ def invoice_usage(rated: DataFrame, customer_id: str | None = None, period: dt.d
                  F.round(F.avg("unit_price"), 4).cast("double").alias("avg_unit_price")))
 
 
+def invoice_header(enriched: DataFrame, customer_id: str | None = None, period: dt.date | None = None) -> DataFrame:
+    """Header of an invoice (amounts and customer), of one customer and month
+    or of all."""
+    h = enriched
+    if customer_id is not None:
+        h = h.where(F.col("customer_id") == customer_id)
+    if period is not None:
+        h = h.where(F.col("billing_period") == F.lit(period))
+    return h.select("invoice_id", "customer_id", "customer_name", "billing_period", "total_base_cost",
+                    "total_discount", "tax_applied", "total_final_cost", "rate_plan_id")
+
+
+def invoice_detail(enriched: DataFrame, rated: DataFrame, customer_id: str | None = None,
+                   period: dt.date | None = None) -> DataFrame:
+    """Header and usage of each invoice: one row for each record type used
+    (one with empty usage where there is none)."""
+    usage = invoice_usage(rated, customer_id, period)
+    return invoice_header(enriched, customer_id, period).join(
+        usage.withColumnsRenamed({"total_base_cost": "usage_base_cost", "total_final_cost": "usage_final_cost"}),
+        ["customer_id", "billing_period"], "left")
+
+
 def invoice_lines(usage: DataFrame) -> DataFrame:
     """Printable usage lines: voice in whole minutes, data to 1 decimal MB,
     sms as a message count; amounts as 'x.xx MAD'; month as 'June 2025'."""

@@ -59,13 +59,16 @@ def out_of_order_count(decoded: DataFrame, order_col: str = "offset",
     x = decoded.select(*part, F.col(order_col).alias("_o"), ts.alias("_ts"),
                        F.floor(F.col(order_col) / ARRIVAL_BLOCK).alias("_b"))
     w = Window.partitionBy("_p", "_b").orderBy("_o", "_ts")
-    x = x.withColumn("_prev", F.lag("_ts").over(w)).withColumn("_first", F.row_number().over(w) == 1)
-    last = x.groupBy("_p", "_b").agg(F.max(F.struct("_o", "_ts"))["_ts"].alias("_last"))
-    last = (last.withColumn("_carry", F.lag("_last").over(Window.partitionBy("_p").orderBy("_b")))
-            .select("_p", "_b", "_carry"))
-    x = x.join(last, ["_p", "_b"], "left")
-    prev = F.when(F.col("_first"), F.col("_carry")).otherwise(F.col("_prev"))
-    return x.agg(F.count(F.when(F.col("_ts") < prev, 1)).alias("out_of_order"))
+    x = x.withColumn("_late", (F.col("_ts") < F.lag("_ts").over(w)).cast("int"))
+    # per block: arrivals before their predecessor, first and last time; the
+    # first of a block is then compared with the last of the block before it
+    blocks = x.groupBy("_p", "_b").agg(
+        F.sum("_late").alias("_late"), F.min(F.struct("_o", "_ts"))["_ts"].alias("_first"),
+        F.max(F.struct("_o", "_ts"))["_ts"].alias("_last"))
+    carry = F.lag("_last").over(Window.partitionBy("_p").orderBy("_b"))
+    blocks = blocks.withColumn("_edge", (F.col("_first") < carry).cast("int"))
+    return blocks.agg(F.coalesce(F.sum(F.coalesce("_late", F.lit(0)) + F.coalesce("_edge", F.lit(0))), F.lit(0))
+                      .cast("bigint").alias("out_of_order"))
 
 
 def anomaly_profile(decoded: DataFrame, order_col: str = "offset",

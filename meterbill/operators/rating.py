@@ -15,25 +15,25 @@ CDR_COLUMNS = ["record_hash", "record_type", "timestamp", "msisdn", "peer_id", "
                "data_volume_mb", "session_duration_sec", "cell_id", "technology", "status"]
 
 
-def unprocessed(normalized: DataFrame, rated: DataFrame, since: dt.date | None = None) -> DataFrame:
+def unprocessed(normalized: DataFrame, rated: DataFrame, arrived_since: dt.date | None = None) -> DataFrame:
     """Valid CDRs whose record_hash is not yet in rated_cdr.
 
-    ``since`` (optional) bounds an incremental run: only CDRs from that day
-    on are considered, and the rated side is cut to the same window plus
-    the rows without a timestamp (unmatched rows keep only hash and msisdn,
-    so they are always kept). With the normalized table stored by event
-    date and the rated table by usage month this prunes whole folders on
-    both sides, so a run's anti join no longer shuffles the entire history.
+    ``arrived_since`` (optional) bounds an incremental run by arrival: with an
+    ``arrival_date`` column on the normalized table, only what arrived from
+    that day on is read, whatever its event time, and late CDRs and those
+    without a timestamp are among them. A hash covers the timestamp, so a
+    copy that was rated before lies in the same usage month: of a rated
+    table stored by ``usage_month`` only the months of the new CDRs, and the
+    rows without one (unmatched rows keep only hash and msisdn), are read.
     """
     n = normalized.where(F.col("status") == STATUS_OK)
-    if since is not None:
-        n = n.where(F.col("timestamp") >= F.lit(since))
-        if "event_date" in normalized.columns:        # stream output stored by event date
-            n = n.where(F.col("event_date") >= F.lit(since))
+    if arrived_since is not None:
+        if "arrival_date" in normalized.columns:
+            n = n.where(F.col("arrival_date").isNull() | (F.col("arrival_date") >= F.lit(arrived_since)))
         if "usage_month" in rated.columns:
-            month = dt.date(since.year, since.month, 1)
-            rated = rated.where(F.col("usage_month").isNull() | (F.col("usage_month") >= F.lit(month)))
-        rated = rated.where(F.col("timestamp").isNull() | (F.col("timestamp") >= F.lit(since)))
+            month = F.trunc(F.col("timestamp").cast("date"), "MM")
+            months = [r[0] for r in n.select(month.alias("m")).distinct().collect() if r[0] is not None]
+            rated = rated.where(F.col("usage_month").isNull() | F.col("usage_month").isin(months))
     return n.join(rated.select("record_hash"), "record_hash", "left_anti")
 
 
@@ -61,9 +61,15 @@ def with_rate(df: DataFrame, rates: DataFrame) -> DataFrame:
                     "left").drop("_plan", "_service"))
 
 
+def _matched():
+    return (F.col("customer_id").isNotNull() & F.col("unit_price").isNotNull()
+            & R.is_priceable(F.col("record_type"), F.col("data_volume_mb"), F.col("unit_price")))
+
+
 def split_matched(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(matched, unmatched): matched needs both a customer and a price."""
-    ok = F.col("customer_id").isNotNull() & F.col("unit_price").isNotNull()
+    """(matched, unmatched): matched needs a customer, a price and a volume
+    that can be priced."""
+    ok = _matched()
     return df.where(ok), df.where(~ok)
 
 
@@ -103,7 +109,7 @@ def combine_rated(rated: DataFrame, unmatched: DataFrame) -> DataFrame:
 
 
 def rate(normalized: DataFrame, customers: DataFrame, rates: DataFrame, rated: DataFrame,
-         as_of: dt.date, rules: TariffRules = DEFAULT_TARIFF, since: dt.date | None = None) -> DataFrame:
+         as_of: dt.date, rules: TariffRules = DEFAULT_TARIFF, arrived_since: dt.date | None = None) -> DataFrame:
     """unprocessed -> customer join -> tariff join -> price -> discount.
 
     The matched / unmatched split and its union are expressed as one
@@ -112,8 +118,8 @@ def rate(normalized: DataFrame, customers: DataFrame, rates: DataFrame, rated: D
     ``combine_rated(price_matched(m), unmatched_rows(u))`` of
     ``split_matched``.
     """
-    joined = with_rate(with_customer(unprocessed(normalized, rated, since), customers), rates)
-    ok = F.col("customer_id").isNotNull() & F.col("unit_price").isNotNull()
+    joined = with_rate(with_customer(unprocessed(normalized, rated, arrived_since), customers), rates)
+    ok = _matched()
     ts = F.col("timestamp")
     base = R.base_cost(F.col("record_type"), F.col("duration_sec"), F.col("data_volume_mb"),
                        F.col("unit_price"), R.event_hour(ts), R.event_weekday(ts), F.col("peer_id"), rules)

@@ -2,64 +2,45 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterbill.schemas import SEGMENT_LABELS
 from meterbill.session import ensure_checkpoint_dir
 
 TERTILES = [0.0, 1.0 / 3.0, 2.0 / 3.0, 1.0]
-EXACT_BUFFER_VALUES = 200_000     # distinct values one aggregation buffer may hold
-RANGE_BLOCK_VALUES = 1_000_000    # distinct values per range partition on the distributed path
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: list[float],
-                    buffer_values: int = EXACT_BUFFER_VALUES) -> list[float] | None:
+def exact_quantiles(df: DataFrame, col: str, probs: list[float]) -> list[float] | None:
     """Exact linearly interpolated quantiles of ``col`` (NULLs ignored).
 
-    Values are first reduced to (value, multiplicity) by a distributed
-    group-by. A bounded sketch decides the path: with few distinct values
-    one ``percentile`` aggregation over (value, multiplicity) holds them;
-    otherwise the distinct values are range-partitioned, each partition's
-    running count is offset by the totals of the partitions before it (one
-    row per partition), and only the rows at the needed ranks reach the
-    driver. No task ever holds more than one range partition.
+    Values are reduced to (value, multiplicity) by a distributed group-by and
+    range-partitioned; the running count of a partition is offset by the
+    totals of the partitions before it (a window over one row per partition),
+    and only the rows at the needed ranks reach the driver: at most two a
+    quantile. No task holds more than one range partition.
     """
     v = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
     d = v.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
-    st = d.agg(F.sum("c").alias("n"), F.approx_count_distinct("v").alias("k")).first()
-    if not st["n"]:
-        return None
-    if st["k"] <= buffer_values:
-        row = d.agg(F.percentile(F.col("v"), F.array(*[F.lit(q) for q in probs]), F.col("c")).alias("q")).first()
-        return list(row["q"])
-    return _ranked_quantiles(d, int(st["n"]), probs, max(1, int(st["k"]) // RANGE_BLOCK_VALUES + 1))
-
-
-def _ranked_quantiles(d: DataFrame, n: int, probs: list[float], parts: int) -> list[float]:
-    import math
-    from pyspark.sql import Window
     ensure_checkpoint_dir(d.sparkSession)
+    parts = int(d.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     r = d.repartitionByRange(parts, "v").withColumn("_pid", F.spark_partition_id()).checkpoint()
-    totals = sorted((row["_pid"], row["t"]) for row in r.groupBy("_pid").agg(F.sum("c").alias("t")).collect())
-    offsets, acc = [], 0
-    for pid, t in totals:
-        offsets.append((pid, acc))
-        acc += t
-    off = d.sparkSession.createDataFrame(offsets, "_pid int, _off long")
+    totals = r.groupBy("_pid").agg(F.sum("c").alias("t"))
+    before = F.coalesce(F.sum("t").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    off = totals.select("_pid", before.alias("_off"))
+    n = totals.agg(F.sum("t")).first()[0]
+    if not n:
+        return None
     w = Window.partitionBy("_pid").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     cum = (r.join(F.broadcast(off), "_pid")               # one row per range partition
            .withColumn("_hi", F.col("_off") + F.sum("c").over(w))
            .withColumn("_lo", F.col("_hi") - F.col("c")))
-    wanted = set()
-    for p in probs:
-        pos = (n - 1) * p
-        wanted |= {math.floor(pos), math.ceil(pos)}
-    hit = None
-    for k in wanted:
-        cond = (F.col("_lo") <= k) & (F.lit(k) < F.col("_hi"))
-        hit = cond if hit is None else hit | cond
-    rows = cum.where(hit).select("v", "_lo", "_hi").collect()      # at most 2 rows per quantile
+    wanted = sorted({k for p in probs for k in (math.floor((n - 1) * p), math.ceil((n - 1) * p))})
+    hit = reduce(lambda a, b: a | b, [(F.col("_lo") <= k) & (F.lit(k) < F.col("_hi")) for k in wanted])
+    rows = cum.where(hit).select("v", "_lo", "_hi").collect()
     at = {k: next(x["v"] for x in rows if x["_lo"] <= k < x["_hi"]) for k in wanted}
     out = []
     for p in probs:
@@ -69,30 +50,10 @@ def _ranked_quantiles(d: DataFrame, n: int, probs: list[float], parts: int) -> l
     return out
 
 
-def _edges(df: DataFrame, cols: list[str],
-           buffer_values: int = EXACT_BUFFER_VALUES) -> tuple[int, dict[str, list[float] | None]]:
-    """Population size and exact tertile edges of each column.
-
-    One bounded aggregation gives the size and a distinct-count sketch per
-    column; the columns with few distinct values then get their exact
-    edges from one ``percentile`` aggregation (its buffer holds a count per
-    distinct value), the others through the distributed ranked path.
-    """
-    st = df.agg(F.count(F.lit(1)).alias("_n"),
-                *[F.approx_count_distinct(F.col(c)).alias(f"_k{i}") for i, c in enumerate(cols)]).first()
-    n = st["_n"]
-    if n <= 3:
-        return n, {}
-    small = [c for i, c in enumerate(cols) if st[f"_k{i}"] <= buffer_values]
-    edges: dict[str, list[float] | None] = {}
-    if small:
-        row = df.agg(*[F.percentile(F.col(c).cast("double"), F.array(*[F.lit(q) for q in TERTILES])).alias(c)
-                       for c in small]).first()
-        edges.update({c: (list(row[c]) if row[c] is not None else None) for c in small})
-    for c in cols:
-        if c not in edges:
-            edges[c] = exact_quantiles(df, c, TERTILES, buffer_values=0)
-    return n, edges
+def _edges(df: DataFrame, cols: list[str]) -> tuple[int, dict[str, list[float] | None]]:
+    """Population size and exact tertile edges of each column."""
+    n = df.count()
+    return n, {c: exact_quantiles(df, c, TERTILES) for c in cols} if n > 3 else {}
 
 
 def _score(col: str, edges: list[float] | None):

@@ -24,13 +24,13 @@ from meterbill.operators import quality as Q
 from meterbill.operators import rating as RT
 from meterbill.operators import segments as S
 from meterbill.operators import windows as W
-from meterbill.plans.jobs import run_mediation, run_pipeline
+from meterbill.plans.jobs import run_billing, run_mediation, run_pipeline
 from meterbill.schemas import RATED_CDR, RAW_CDR
 from meterbill.session import scratch_path
 from meterbill.sources import fixtures as FX
 from meterbill.sources import sinks as SK
 from meterbill.sources.cdr import decode_cdr, read_cdr_stream
-from meterbill.sources.tables import TtlCache, empty_frame, read_or_empty, read_table, table_path
+from meterbill.sources.tables import empty_frame, read_or_empty, read_table, shared_cache, table_path
 from meterbill.streaming import mediation as SM
 
 USAGE_AS_OF = FX.USAGE_AS_OF
@@ -113,13 +113,29 @@ class Inputs:
     def region_stats(self) -> DataFrame:
         return A.region_revenue(self.invoices_hist, self.customers, HISTORY_AS_OF)
 
+    @cached_property
+    def prior_rated(self) -> DataFrame:
+        """What an earlier run rated and stored: events before PRIOR_CUTOFF."""
+        path = scratch_path(self.spark, "rated-table")
+        SK.write_rated(RT.rate(self.normalized.where(F.col("timestamp") < F.lit(PRIOR_CUTOFF)), self.customers,
+                               self.rates, self.no_rated, USAGE_AS_OF), path, mode="overwrite")
+        return self.spark.read.parquet(path)
+
+    @cached_property
+    def new_rated(self) -> DataFrame:
+        return RT.rate(self.normalized, self.customers, self.rates, self.prior_rated, USAGE_AS_OF)
+
+    @cached_property
+    def population(self) -> DataFrame:
+        return A.customer_value(self.customers, self.invoices_hist, HISTORY_AS_OF)
+
     @cached_property
     def top20(self) -> DataFrame:
         return A.top_customers(self.customers, self.invoices_hist, HISTORY_AS_OF, n=20)
 
     @cached_property
     def rfm(self) -> DataFrame:
-        return S.rfm_segments(S.rfm_scores(self.top20))
+        return S.rfm_segments(S.rfm_scores(self.population))
 
 
 REGISTRY: dict[str, Callable[[Inputs], DataFrame]] = {}
@@ -147,27 +163,29 @@ def decoded_fields(df: DataFrame) -> DataFrame:
 
 def _stream_raw_folder(i: Inputs) -> str:
     """The raw messages as newline-delimited JSON files (the message log a
-    stream replays), written by the executors under the checkpoint root."""
+    stream replays), written by the executors under the checkpoint root.
+    Messages are dealt by their hash, so no file is in time order."""
     path = scratch_path(i.spark, "cdr-log")
-    i.raw.select("value").write.mode("overwrite").text(path)
+    files = max(4, i.spark.sparkContext.defaultParallelism // 2)
+    i.raw.select("value").repartition(files, F.xxhash64("value")).write.mode("overwrite").text(path)
     return path
 
 
 def _run_stream(i: Inputs, transform, trigger: str | None = None, graceful: bool = False,
                 log: str | None = None, out: str | None = None, ckpt: str | None = None,
-                sink: str = "files") -> DataFrame:
+                sink: str = "files", files_per_batch: int = 1) -> DataFrame:
     log = log or _stream_raw_folder(i)
     out = out or scratch_path(i.spark, "stream-out")
     ckpt = ckpt or scratch_path(i.spark, "stream-ckpt")
-    stream = read_cdr_stream(i.spark, "text", log, maxFilesPerTrigger="1000")
-    query = SM.start_mediation(transform(stream), out, ckpt, trigger=trigger or "1 second",
+    stream = read_cdr_stream(i.spark, "text", log, maxFilesPerTrigger=str(files_per_batch))
+    query = SM.start_mediation(transform(stream), out, ckpt, trigger=trigger or SM.DEFAULT_TRIGGER,
                                available_now=trigger is None, sink=sink)
     if trigger is None:
         query.awaitTermination()
     else:
         query.processAllAvailable()
-        SM.stop(query, 5.0) if graceful else query.stop()
-    return i.spark.read.parquet(out).drop("batch_id", "event_date")
+        SM.stop(query) if graceful else query.stop()
+    return i.spark.read.parquet(out).drop("stream", "batch_id", "event_date")
 
 
 # ------------------------------------------------------------ 2.1 sources --
@@ -217,6 +235,7 @@ def _(i):
     path = scratch_path(i.spark, "invoice-docs")
     docs = B.invoice_documents(i.customers, i.rates, i.rated, i.invoices_hist, USAGE_AS_OF)
     SK.write_invoice_documents(docs, path)
+    SK.write_invoice_documents(docs, path)      # a second run adds nothing
     back = i.spark.read.text(path)
     doc_type = docs.schema["document"].dataType
     return B.flatten_documents(back.select(F.from_json("value", doc_type).alias("document")))
@@ -230,6 +249,20 @@ def _(i):
     return i.spark.read.schema(schema).options(**SK.CSV_OPTIONS).csv(path)
 
 
+@q("sink_export_json")
+def _(i):
+    path = scratch_path(i.spark, "export")
+    SK.export_invoices(i.enriched, path, "json")
+    return i.spark.read.schema(SK.export_frame(i.enriched).schema).json(path)
+
+
+@q("sink_cdr_csv")
+def _(i):
+    path = scratch_path(i.spark, "cdr-csv")
+    SK.write_cdr(decoded_fields(i.decoded), "csv", path)
+    return i.spark.read.schema(decoded_fields(i.decoded).schema).option("header", True).csv(path)
+
+
 @q("sink_cdr_records")
 def _(i):
     path = scratch_path(i.spark, "cdr-json")
@@ -249,7 +282,8 @@ def _(i):
 @q("cache_table")
 def _(i):
     """Active customers held on the executors for 300 s (dashboard cache life)."""
-    return TtlCache(lambda: RT.active_customers(i.customers), ttl_s=300).get()
+    return shared_cache(i.spark, f"active customers of {i.root}", lambda: RT.active_customers(i.customers),
+                        ttl_s=300).get()
 
 
 # --------------------------------------------------------- 2.2 mediation --
@@ -468,7 +502,7 @@ def _(i):
 @q("semi_top_regions")
 def _(i):
     monthly = A.region_monthly(i.invoices_hist, i.customers, HISTORY_AS_OF)
-    return A.top_region_series(monthly, i.region_stats, 5)
+    return A.top_region_series(monthly, 5)
 
 
 # ----------------------------------------------------------- 2.5 billing --
@@ -652,7 +686,7 @@ def _(i):
 
 @q("agg_histogram")
 def _(i):
-    return S.spend_histogram(i.top20, "total_spent", 10)
+    return S.spend_histogram(i.population, "total_spent", 10)
 
 
 # ---------------------------------------------------------- 2.7 windows --
@@ -697,6 +731,16 @@ def _(i):
     return W.page(i.enriched, _invoice_order(), 2, 5)
 
 
+@q("win_page_count")
+def _(i):
+    return W.page_count(i.enriched, 5)
+
+
+@q("invoice_detail")
+def _(i):
+    return B.invoice_detail(i.enriched, i.rated_hist)
+
+
 @q("win_others")
 def _(i):
     return W.top_with_rest(i.region_stats, 6)
@@ -732,7 +776,9 @@ def _(i):
 # ------------------------------------------------------------ 2.9 sets --
 @q("set_union_rated")
 def _(i):
-    return i.rated.select("record_hash", "msisdn", "record_type", "customer_id", "rating_status")
+    m, u = RT.split_matched(i.joined)
+    return RT.combine_rated(RT.price_matched(m, USAGE_AS_OF), RT.unmatched_rows(u)).select(
+        "record_hash", "msisdn", "record_type", "customer_id", "rating_status")
 
 
 @q("set_distinct_periods")
@@ -753,7 +799,7 @@ def _(i):
 # ------------------------------------------------------------- 2.10 rfm --
 @q("rfm_scores")
 def _(i):
-    return S.rfm_scores(i.top20)
+    return S.rfm_scores(i.population)
 
 
 @q("rfm_segments")
@@ -777,7 +823,16 @@ def _(i):
 
 @q("stream_trigger")
 def _(i):
-    return _run_stream(i, run_mediation, trigger="1 second")
+    """The default trigger; all files are there when the first batch begins."""
+    return _run_stream(i, run_mediation, trigger=SM.DEFAULT_TRIGGER, files_per_batch=1000)
+
+
+@q("stream_anti_join")
+def _(i):
+    """Dedup against the stored dates instead of a state store."""
+    def hashed(s):
+        return M.to_normalized(M.keep_valid(M.with_record_hash(M.validate(M.normalize_parties(decode_cdr(s))))))
+    return _run_stream(i, hashed, sink="anti_join")
 
 
 @q("stream_recovery")
@@ -807,18 +862,29 @@ def _(i):
 
 @q("job_rating")
 def _(i):
-    return rated_out(i.rated)
+    return rated_out(i.new_rated)
 
 
 @q("job_billing")
 def _(i):
-    return _invoice_rows(B.generate_invoices(i.customers, i.rates, i.rated, i.invoices_hist, USAGE_AS_OF))
+    """Invoices and documents of one run over the stored and the new usage."""
+    rated = i.prior_rated.drop("usage_month").unionByName(i.new_rated)
+    invoices, documents = run_billing(i.customers, i.rates, rated, i.invoices_hist, USAGE_AS_OF,
+                                      stage_path=scratch_path(i.spark, "invoice-terms"))
+    path = scratch_path(i.spark, "invoice-docs")
+    SK.write_invoice_documents(documents, path)
+    stored = i.spark.read.text(path).select(F.from_json("value", documents.schema["document"].dataType).alias("document"))
+    d = B.flatten_documents(stored).select(
+        "customer_id", F.col("free_units_credit").alias("document_credit"),
+        F.col("free_unit_services").alias("document_services"), F.col("total_due").alias("document_total"))
+    return _invoice_rows(invoices).join(d, "customer_id")
 
 
 @q("job_end_to_end")
 def _(i):
-    return run_pipeline(i.raw, i.customers, i.rates, i.no_rated, i.invoices_hist, USAGE_AS_OF,
-                        stage_path=scratch_path(i.spark, "rated-stage"))
+    return run_pipeline(i.raw, i.customers, i.rates, i.prior_rated, i.invoices_hist, USAGE_AS_OF,
+                        stage_path=scratch_path(i.spark, "rated-stage"),
+                        documents_path=scratch_path(i.spark, "invoice-docs"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

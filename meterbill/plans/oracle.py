@@ -34,8 +34,10 @@ CTE["customers"] = """SELECT concat('2126', lpad(CAST(c_custkey AS VARCHAR), 8,
        WHEN c_mktsegment = 'MACHINERY' THEN 'RP_PREMIUM' ELSE 'RP_BASIC' END AS rate_plan_id,
   CAST(DATE '2018-01-15' + CAST((c_custkey * 37) % 2200 AS INTEGER) AS DATE) AS activation_date,
   CASE WHEN c_custkey % 10 = 3 THEN 'suspended' WHEN c_custkey % 10 = 7 THEN 'terminated' ELSE 'active' END AS status,
-  CASE c_nationkey % 8 WHEN 0 THEN 'CASABLANCA' WHEN 1 THEN 'RABAT' WHEN 2 THEN 'Salé' WHEN 3 THEN 'marrakech'
-       WHEN 4 THEN ' TANGER ' WHEN 5 THEN 'OUJDA' WHEN 6 THEN 'PARIS' ELSE NULL END AS region,
+  CASE c_nationkey % 14 WHEN 0 THEN 'CASABLANCA' WHEN 1 THEN 'RABAT' WHEN 2 THEN 'Salé' WHEN 3 THEN 'marrakech'
+       WHEN 4 THEN ' TANGER ' WHEN 5 THEN 'OUJDA' WHEN 6 THEN 'PARIS' WHEN 7 THEN 'AGADIR' WHEN 8 THEN 'FES'
+       WHEN 9 THEN 'KENITRA' WHEN 10 THEN 'Casablanca' WHEN 11 THEN 'MEKNES' WHEN 12 THEN 'TETOUAN'
+       ELSE NULL END AS region,
   c_mktsegment = 'HOUSEHOLD' AS is_student
 FROM customer"""
 
@@ -100,7 +102,7 @@ VOICE_COST = """CAST(COALESCE(CAST(duration_sec AS DECIMAL(10,0)) * CAST(unit_pr
   * (CASE WHEN coalesce(hr >= 8 AND hr < 20, false) THEN 1.20 ELSE 1.00 END)
   * (CASE WHEN coalesce(wd IN (5, 6), false) THEN 0.90 ELSE 1.00 END)
   * (CASE WHEN coalesce(NOT starts_with(peer_id, '212'), false) THEN 2.00 ELSE 1.00 END), 0) AS DECIMAL(18,6))"""
-DATA_COST = ("CAST(COALESCE(CAST(data_volume_mb AS DECIMAL(12,2)) * CAST(unit_price AS DECIMAL(10,4)), 0) "
+DATA_COST = ("CAST(COALESCE(CAST(data_volume_mb AS DECIMAL(24,6)) * CAST(unit_price AS DECIMAL(10,4)), 0) "
              "AS DECIMAL(18,6))")
 SMS_COST = "CAST(COALESCE(CAST(unit_price AS DECIMAL(10,4)), 0) AS DECIMAL(18,6))"
 CTE["priced"] = f"""SELECT *, CASE record_type WHEN 'voice' THEN {VOICE_COST} WHEN 'data' THEN {DATA_COST}
@@ -250,8 +252,7 @@ FROM invoices_hist i JOIN customers c ON i.customer_id = c.customer_id
 LEFT JOIN rated_hist r ON r.customer_id = i.customer_id
   AND date_trunc('month', r."timestamp") = i.billing_period AND r.rating_status = 'rated'
 WHERE i.billing_period >= DATE '2001-02-01'
-GROUP BY c.region HAVING SUM(i.total_final_cost) > 0
-ORDER BY total_revenue DESC, city ASC NULLS FIRST LIMIT 10"""
+GROUP BY c.region HAVING SUM(i.total_final_cost) > 0"""
 # corrected: usage summed per customer-month before meeting the invoice
 CTE["perf_usage"] = """SELECT customer_id, CAST(date_trunc('month', "timestamp") AS DATE) AS billing_period,
   sum(CASE WHEN record_type = 'voice' THEN final_cost END) AS vrev,
@@ -268,8 +269,7 @@ CTE["perf_city"] = """SELECT c.region AS city, COUNT(DISTINCT i.customer_id) AS
 FROM invoices_hist i JOIN customers c ON i.customer_id = c.customer_id
 LEFT JOIN perf_usage u ON u.customer_id = i.customer_id AND u.billing_period = i.billing_period
 WHERE i.billing_period >= DATE '2001-02-01'
-GROUP BY c.region HAVING SUM(i.total_final_cost) > 0
-ORDER BY total_revenue DESC, city ASC NULLS FIRST LIMIT 10"""
+GROUP BY c.region HAVING SUM(i.total_final_cost) > 0"""
 
 
 def _perf_region(city_cte: str) -> str:
@@ -285,15 +285,15 @@ FROM {city_cte} GROUP BY 1"""
 
 CTE["perf"] = _perf_region("perf_city")
 CTE["perf_parity"] = _perf_region("perf_fanout_city")
-CTE["top20"] = """SELECT c.customer_id, CAST(round(SUM(i.total_final_cost), 2) AS DOUBLE) AS total_spent,
+CTE["population"] = """SELECT c.customer_id, CAST(round(SUM(i.total_final_cost), 2) AS DOUBLE) AS total_spent,
   COUNT(i.invoice_id) AS total_invoices,
   round(CAST(SUM(i.total_final_cost) AS DOUBLE) / COUNT(i.invoice_id), 4) AS avg_invoice
 FROM customers c JOIN invoices_hist i ON c.customer_id = i.customer_id
 WHERE i.billing_period >= DATE '2001-02-01' AND c.status = 'active'
-GROUP BY c.customer_id HAVING SUM(i.total_final_cost) > 0
-ORDER BY total_spent DESC, c.customer_id LIMIT 20"""
+GROUP BY c.customer_id HAVING SUM(i.total_final_cost) > 0"""
+CTE["top20"] = "SELECT * FROM population ORDER BY total_spent DESC, customer_id LIMIT 20"
 CTE["rfm_edges"] = """SELECT quantile_cont(CAST(total_invoices AS DOUBLE), [0.0, 1.0/3.0, 2.0/3.0, 1.0]) AS fe,
-  quantile_cont(CAST(total_spent AS DOUBLE), [0.0, 1.0/3.0, 2.0/3.0, 1.0]) AS me, count(*) AS n FROM top20"""
+  quantile_cont(CAST(total_spent AS DOUBLE), [0.0, 1.0/3.0, 2.0/3.0, 1.0]) AS me, count(*) AS n FROM population"""
 CTE["rfm_scores"] = """SELECT customer_id, total_spent, total_invoices, avg_invoice, frequency_score, monetary_score,
   frequency_score + monetary_score AS rfm_score FROM (
  SELECT t.*,
@@ -303,7 +303,7 @@ CTE["rfm_scores"] = """SELECT customer_id, total_spent, total_invoices, avg_invo
   CAST(CASE WHEN e.n <= 3 THEN NULL WHEN len(list_distinct(e.me)) < 4 OR t.total_spent IS NULL THEN 2
        WHEN t.total_spent <= e.me[2] THEN 1 WHEN t.total_spent <= e.me[3] THEN 2 ELSE 3 END AS INTEGER)
     AS monetary_score
- FROM top20 t CROSS JOIN rfm_edges e)"""
+ FROM population t CROSS JOIN rfm_edges e)"""
 CTE["rfm"] = """SELECT *, CASE WHEN rfm_score IS NULL THEN NULL WHEN rfm_score >= 5 THEN '🌟 Champions'
   WHEN rfm_score >= 4 THEN '💎 Loyaux' WHEN rfm_score >= 3 THEN '📈 Potentiel' ELSE '🚨 À risque' END AS segment
 FROM rfm_scores"""
@@ -559,7 +559,7 @@ FROM rfm WHERE segment IS NOT NULL GROUP BY 1""",
   count(*) AS "count"
 FROM (SELECT CASE WHEN h.hi > h.lo THEN least(CAST(floor((t.total_spent - h.lo) / (h.hi - h.lo) * 10) AS INTEGER) + 1, 10)
              ELSE 1 END AS bucket, h.lo, CASE WHEN h.hi > h.lo THEN (h.hi - h.lo) / 10 ELSE 0.0 END AS w
-      FROM top20 t CROSS JOIN (SELECT min(total_spent) AS lo, max(total_spent) AS hi FROM top20) h)
+      FROM population t CROSS JOIN (SELECT min(total_spent) AS lo, max(total_spent) AS hi FROM population) h)
 GROUP BY bucket, lo, w""",
     # 2.7
     "win_ma7": """SELECT "date", daily_revenue,
@@ -612,6 +612,7 @@ WHERE strftime(billing_period, '%Y-%m') = '2001-07' AND region_mapped = 'Casabla
     "stream_dedup": ("SELECT record_hash, status, record_type, \"timestamp\", msisdn, peer_id, duration_sec, "
                      "data_volume_mb, session_duration_sec, cell_id, technology FROM mediated_all"),
     "stream_trigger": NORMALIZED,
+    "stream_anti_join": NORMALIZED,
     "stream_recovery": NORMALIZED,
     "stream_graceful_stop": NORMALIZED,
     # 2.12
@@ -619,11 +620,24 @@ WHERE strftime(billing_period, '%Y-%m') = '2001-07' AND region_mapped = 'Casabla
     "job_rating": """SELECT record_hash, record_type, "timestamp", msisdn, peer_id, duration_sec, data_volume_mb,
   session_duration_sec, cell_id, technology, status, customer_id, rate_plan_id,
   CAST(unit_price AS DOUBLE) AS unit_price, CAST(base_cost AS DOUBLE) AS base_cost,
-  CAST(final_cost AS DOUBLE) AS final_cost, discount_applied, rating_status FROM rated""",
-    "job_billing": INVOICE_ROWS,
+  CAST(final_cost AS DOUBLE) AS final_cost, discount_applied, rating_status FROM rated
+WHERE record_hash NOT IN (SELECT record_hash FROM normalized WHERE "timestamp" < TIMESTAMP '2024-01-16')""",
+    "job_billing": f"""SELECT i.*, d.free_units_credit AS document_credit, d.free_unit_services AS document_services,
+  d.total_due AS document_total FROM ({INVOICE_ROWS}) i JOIN ({DOCS}) d USING (customer_id)""",
     "job_end_to_end": "SELECT * FROM e2e_region",
+    "win_page_count": """SELECT count(*) AS total_items, CAST(ceil(count(*) / 5.0) AS BIGINT) AS total_pages
+FROM enriched""",
+    "sink_cdr_csv": RAW_OFFSET,
+    "invoice_detail": """SELECT e.invoice_id, e.customer_id, e.customer_name, e.billing_period, e.total_base_cost,
+  e.total_discount, e.tax_applied, e.total_final_cost, e.rate_plan_id, u.record_type, u.usage_count,
+  u.total_duration_sec, u.total_data_mb, u.total_base_cost AS usage_base_cost,
+  u.total_final_cost AS usage_final_cost, u.avg_unit_price
+FROM enriched e LEFT JOIN iu u ON u.customer_id = e.customer_id AND u.billing_period = e.billing_period""",
 }
 
 
+BODIES["sink_export_json"] = BODIES["sink_export"]
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: _with(body) for name, body in BODIES.items()}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import uuid
 
@@ -58,13 +59,14 @@ def get_spark(master: str | None = None, app: str = "meterbill",
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) a folder under the system
-    temp dir is used; a cluster always names a shared one.
+    Only a session that runs in one process (``local``, as in tests) may go
+    without: a folder under the system temp dir is used. Elsewhere a missing
+    setting is an error, because executors do not see each other's disks.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not root:
+        if spark.conf.get("spark.master", "local").split("[")[0] != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = os.path.join(os.environ.get("TMPDIR", "/tmp"), "meterbill-checkpoints")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
@@ -82,6 +84,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         sc.setCheckpointDir(checkpoint_root(spark))
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder below the shared checkpoint root."""
-    return f"{checkpoint_root(spark)}/meterbill/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique folder below the shared checkpoint root. Frames that
+    read it are lazy, so it lives until the driver's process ends."""
+    path = f"{checkpoint_root(spark)}/meterbill/{name}-{uuid.uuid4().hex[:12]}"
+    if not _SCRATCH:
+        atexit.register(drop_scratch, spark.sparkContext._gateway.jvm)
+    _SCRATCH.append(path)
+    return path
+
+
+def drop_scratch(jvm) -> None:
+    """Delete the folders that ``scratch_path`` gave out."""
+    try:
+        conf = jvm.org.apache.hadoop.conf.Configuration()
+        for path in _SCRATCH:
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(conf).delete(at, True)
+        _SCRATCH.clear()
+    except Exception as e:          # the JVM may be gone: say what stays
+        print(f"scratch folders not deleted ({type(e).__name__}): {len(_SCRATCH)} below {_SCRATCH[0]}")

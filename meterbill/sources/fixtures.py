@@ -14,13 +14,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterbill.schemas import MONEY, PRICE, PRODUCT_CATALOG, PRODUCT_RATES, RATE_PLANS
-from meterbill.sources.tables import read_table, spread
+from meterbill.sources.tables import read_table
 
 # Dates the fixtures are built around.
 USAGE_AS_OF = dt.date(2024, 1, 31)      # events lie in 2024-01-01 .. 2024-01-30
 HISTORY_AS_OF = dt.date(2001, 8, 1)     # orders lie in 1995-01-01 .. 2001-08-01
 
-# ---- fixed values: the tariff grid of the test model ---------------------
+# ---- the tariff grid of the test model -----------------------------------
 RATE_ROWS = [
     ("RP_BASIC", "voice", 0.01, 0),
     ("RP_BASIC", "sms", 0.05, 5),
@@ -80,7 +80,7 @@ def customer_id_of(custkey: Column) -> Column:
 def customers(spark: SparkSession, root: str) -> DataFrame:
     c = driver_table(spark, root, "customer")
     key, seg = F.col("c_custkey"), F.col("c_mktsegment")
-    nation = F.col("c_nationkey") % 8
+    nation = F.col("c_nationkey") % 14
     return c.select(
         customer_id_of(key).alias("customer_id"),
         F.col("c_name").alias("customer_name"),
@@ -92,7 +92,8 @@ def customers(spark: SparkSession, root: str) -> DataFrame:
          .otherwise("active").alias("status"),
         F.when(nation == 0, "CASABLANCA").when(nation == 1, "RABAT").when(nation == 2, "Salé")
          .when(nation == 3, "marrakech").when(nation == 4, " TANGER ").when(nation == 5, "OUJDA")
-         .when(nation == 6, "PARIS").alias("region"),
+         .when(nation == 6, "PARIS").when(nation == 7, "AGADIR").when(nation == 8, "FES").when(nation == 9, "KENITRA")
+         .when(nation == 10, "Casablanca").when(nation == 11, "MEKNES").when(nation == 12, "TETOUAN").alias("region"),
         (seg == "HOUSEHOLD").alias("is_student"),
     )
 
@@ -117,13 +118,18 @@ def product_catalog(spark: SparkSession) -> DataFrame:
     return literal_table(spark, CATALOG_ROWS, PRODUCT_CATALOG)
 
 
+def _dealt(df: DataFrame, key: str) -> DataFrame:
+    """The rows of a test table over all task slots."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
+
+
 def usage_fields(spark: SparkSession, root: str) -> DataFrame:
     """One usage record per event, in normalized column form, with every
     50th event delivered twice (the duplicate class). ``offset`` is the
     arrival position (the event id)."""
-    # per-record work here and in mediation (JSON encode/decode, hashing)
-    # is CPU-heavy: make sure it is spread over the available task slots
-    e = spread(driver_table(spark, root, "events"))
+    # the driver writes the table as one row group; a message log has a
+    # partition for each reader
+    e = _dealt(driver_table(spark, root, "events"), "event_id")
     k = F.get_json_object("props", "$.k").cast("int")
     etype = F.col("event_type")
     uid = F.col("user_id").cast("string")
@@ -206,7 +212,7 @@ def invoice_history(spark: SparkSession, root: str) -> DataFrame:
 
 def rated_history(spark: SparkSession, root: str) -> DataFrame:
     """Rated usage from ``lineitem`` joined to ``orders`` (the large table)."""
-    li = spread(driver_table(spark, root, "lineitem"))
+    li = _dealt(driver_table(spark, root, "lineitem"), "l_orderkey")
     o = driver_table(spark, root, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     j = li.join(o, li.l_orderkey == o.o_orderkey)
     rt = (F.when(F.col("l_returnflag") == "A", "voice").when(F.col("l_returnflag") == "R", "data")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterbill.schemas import EXPORT_RENAMES
+from meterbill.sources.tables import path_exists
 
 
 def append(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None,
@@ -27,7 +28,8 @@ def write_rated(rated: DataFrame, path: str, mode: str = "append") -> None:
     """Append rated rows to the rated table, one folder per usage month
     (unmatched rows, which have no timestamp, land in the default folder).
     Billing one month then lists and reads a single folder."""
-    (rated.withColumn(USAGE_MONTH, F.trunc(F.col("timestamp").cast("date"), "MM"))
+    # rebalanced by month: no file per task and month, and a big month is split
+    (rated.withColumn(USAGE_MONTH, F.trunc(F.col("timestamp").cast("date"), "MM")).hint("rebalance", USAGE_MONTH)
      .write.mode(mode).partitionBy(USAGE_MONTH).parquet(path))
 
 
@@ -38,12 +40,17 @@ def write_invoices(invoices: DataFrame, path: str, mode: str = "append") -> None
 
 def write_invoice_documents(docs: DataFrame, path: str) -> None:
     """One JSON document per line, folders by billing period; written by
-    the executors in parallel (no driver-side files). Only the periods
-    being written are replaced (dynamic partition overwrite), so re-running
-    a month is idempotent and earlier months stay untouched."""
-    (docs.select(F.col("document.billing_period").alias("billing_period"), F.to_json("document").alias("value"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("billing_period").text(path))
+    the executors in parallel (no driver-side files). Documents are added,
+    never replaced: one per customer and period, so a second run of a month
+    adds those of customers that have none yet."""
+    rows = docs.select(F.col("document.customer_id").alias("customer_id"),
+                       F.col("document.billing_period").alias("billing_period"), F.to_json("document").alias("value"))
+    if path_exists(docs.sparkSession, path):
+        done = docs.sparkSession.read.schema("value string, billing_period string").text(path).select(
+            F.get_json_object("value", "$.customer_id").alias("customer_id"),
+            F.get_json_object("value", "$.billing_period").alias("billing_period"))
+        rows = rows.join(done, ["customer_id", "billing_period"], "left_anti")
+    rows.select("billing_period", "value").write.mode("append").partitionBy("billing_period").text(path)
 
 
 # values are written as they are (the CSV writer trims spaces by default)

@@ -30,19 +30,6 @@ def read_table(spark: SparkSession, root: str, name: str,
     return df.where(where) if where is not None else df
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin the rows over at least ``min_partitions`` tasks (default:
-    the cluster's parallelism) when the scan yields fewer -- e.g. a single
-    small file holding one row group. On large inputs the scan already has
-    that many splits and the frame is returned unchanged (no shuffle)."""
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:       # sessions without the RDD API (Spark Connect): leave the plan as is
-        return df
-    return df.repartition(target) if parts < target else df
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence test through the Hadoop file system of the path (works for
     local, HDFS and object stores alike)."""
@@ -65,7 +52,7 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType,
     """The table at ``path``, or an empty frame of ``schema`` when the table
     does not exist yet. Any other read error propagates."""
     if path_exists(spark, path):
-        return spark.read.format(fmt).load(path)
+        return spark.read.format(fmt).schema(schema).load(path)
     return empty_frame(spark, schema)
 
 
@@ -100,3 +87,18 @@ class TtlCache:
         if self._df is not None:
             self._df.unpersist()
             self._df = None
+
+
+_CACHES: dict[tuple, TtlCache] = {}
+MAX_CACHES = 32
+
+
+def shared_cache(spark: SparkSession, key: str, loader, ttl_s: float = 300.0) -> TtlCache:
+    """The session's cache of ``key``; the oldest ones beyond ``MAX_CACHES``
+    are released from the executors."""
+    at = (spark.sparkContext.applicationId, key)
+    if at not in _CACHES:
+        while len(_CACHES) >= MAX_CACHES:
+            _CACHES.pop(next(iter(_CACHES))).invalidate()
+        _CACHES[at] = TtlCache(loader, ttl_s)
+    return _CACHES[at]

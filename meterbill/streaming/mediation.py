@@ -1,53 +1,73 @@
-"""Structured Streaming mediation: stateful dedup and an idempotent sink."""
+"""Structured Streaming mediation: lossless dedup, exactly-once sinks, stop."""
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-DEFAULT_DELAY = "1 hour"
+DEFAULT_TRIGGER = "10 seconds"
 
 
-def with_event_time(df: DataFrame) -> DataFrame:
-    return df.withColumn("event_time", F.expr("try_cast(timestamp AS TIMESTAMP)"))
+def dedup_stream(df: DataFrame) -> DataFrame:
+    """Stateful dedup on record_hash: the first delivery of a hash passes,
+    however late it comes and whether or not its timestamp parses. No row is
+    lost, so every hash stays in the state store (RocksDB, on disk); for a
+    stream without end use the ``anti_join`` sink, which keeps no state."""
+    return df.dropDuplicates(["record_hash"])
 
 
-def dedup_stream(df: DataFrame, delay: str | None = DEFAULT_DELAY) -> DataFrame:
-    """Stateful dedup on record_hash.
+def null_time_rows(df: DataFrame) -> DataFrame:
+    """Rows whose timestamp does not parse."""
+    return df.where(F.expr("try_cast(timestamp AS TIMESTAMP)").isNull())
 
-    With ``delay`` (default) state is kept for ``delay`` past the event-time
-    watermark (dropDuplicatesWithinWatermark), so state stays bounded on an
-    endless stream; rows older than the watermark are dropped as late and
-    show up in ``StreamingQueryProgress``. Rows without a parseable event
-    time never reach the stateful step (route them with ``null_time_rows``).
-    ``delay=None`` keeps every hash for ever (unbounded state, no watermark).
-    """
-    if "event_time" not in df.columns:
-        df = with_event_time(df)
-    if delay is None:
-        return df.dropDuplicates(["record_hash"]).drop("event_time")
-    return (df.where(F.col("event_time").isNotNull())
-              .withWatermark("event_time", delay)
-              .dropDuplicatesWithinWatermark(["record_hash"])
-              .drop("event_time"))
 
+def _event_date():
+    return F.to_date(F.expr("try_cast(timestamp AS TIMESTAMP)"))     # raw frames carry a string
 
-def null_time_rows(df: DataFrame) -> DataFrame:
-    """Rows whose timestamp does not parse (the reject side of dedup_stream)."""
-    return with_event_time(df).where(F.col("event_time").isNull()).drop("event_time")
+
+def stream_id(spark, checkpoint: str) -> str:
+    """The query id kept in a checkpoint: the same after a restart, another
+    one for a new checkpoint."""
+    return spark.read.json(f"{checkpoint}/metadata", schema="id string").first()["id"]
 
 
-def idempotent_batch_writer(out_path: str, fmt: str = "parquet"):
+def idempotent_batch_writer(out_path: str, checkpoint: str, fmt: str = "parquet"):
     """foreachBatch function: each micro-batch overwrites its own
-    ``batch_id=N`` folder, so a batch replayed after a failure replaces its
-    earlier partial output instead of appending a second copy."""
+    ``stream=<query id>/batch_id=N`` folder. A batch replayed after a failure
+    replaces its partial output; a new checkpoint, whose batch ids start at 0
+    again, writes beside what earlier ones left."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        folder = f"{out_path}/stream={stream_id(batch.sparkSession, checkpoint)}/batch_id={batch_id}"
+        batch.write.mode("overwrite").format(fmt).save(folder)
+    return write
+
+
+def anti_join_batch_writer(out_path: str, checkpoint: str):
+    """foreachBatch function that dedups without state: a batch loses its own
+    copies, then the hashes that earlier batches stored. Copies of a record
+    have one timestamp, so only the stored event dates of the batch are read."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").format(fmt).save(f"{out_path}/batch_id={batch_id}")
+        from meterbill.sources.tables import path_exists
+        spark = batch.sparkSession
+        stream = stream_id(spark, checkpoint)
+        new = batch.withColumn("event_date", F.coalesce(_event_date().cast("string"), F.lit("none"))) \
+                   .dropDuplicates(["record_hash"])
+        if path_exists(spark, out_path):
+            stored = spark.read.option("basePath", out_path).schema(
+                "record_hash string, stream string, batch_id long, event_date string").parquet(f"{out_path}/stream=*")
+            earlier = stored.where(~((F.col("stream") == stream) & (F.col("batch_id") == batch_id)))
+            dates = [r[0] for r in new.select("event_date").distinct().collect()]     # days of one batch
+            earlier = earlier.where(F.col("event_date").isin(dates)).select("record_hash")
+            new = new.join(earlier, "record_hash", "left_anti").select(*new.columns)
+        (new.write.mode("overwrite").partitionBy("event_date")
+            .parquet(f"{out_path}/stream={stream}/batch_id={batch_id}"))
     return write
 
 
-def start_mediation(df: DataFrame, out_path: str, checkpoint: str, trigger: str | None = "10 seconds",
+def start_mediation(df: DataFrame, out_path: str, checkpoint: str, trigger: str | None = DEFAULT_TRIGGER,
                     available_now: bool = False, fmt: str = "parquet", sink: str = "files") -> StreamingQuery:
     """Run the mediated stream into ``out_path`` with a checkpoint (offset
     and commit logs give restart recovery).
@@ -58,13 +78,16 @@ def start_mediation(df: DataFrame, out_path: str, checkpoint: str, trigger: str
     ``sink="foreach_batch"``: each micro-batch goes through
     ``idempotent_batch_writer`` -- the shape to use for external sinks
     (e.g. a JDBC append) that need per-batch code.
+    ``sink="anti_join"``: ``anti_join_batch_writer``, for a stream that is not
+    de-duplicated yet.
     """
     if sink == "files":
-        event_date = F.to_date(F.expr("try_cast(timestamp AS TIMESTAMP)"))   # raw frames carry a string
-        w = (df.withColumn("event_date", event_date).writeStream.format(fmt)
+        w = (df.withColumn("event_date", _event_date()).writeStream.format(fmt)
              .option("path", out_path).partitionBy("event_date").outputMode("append"))
     elif sink == "foreach_batch":
-        w = df.writeStream.foreachBatch(idempotent_batch_writer(out_path, fmt))
+        w = df.writeStream.foreachBatch(idempotent_batch_writer(out_path, checkpoint, fmt))
+    elif sink == "anti_join":
+        w = df.writeStream.foreachBatch(anti_join_batch_writer(out_path, checkpoint))
     else:
         raise ValueError(f"unknown sink {sink!r}")
     w = w.option("checkpointLocation", checkpoint)
@@ -72,8 +95,12 @@ def start_mediation(df: DataFrame, out_path: str, checkpoint: str, trigger: str
     return w.start()
 
 
-def stop(query: StreamingQuery, timeout_s: float = 30.0) -> None:
-    """Graceful stop: let the running batch finish (up to ``timeout_s``),
-    then stop the query."""
-    query.awaitTermination(timeout_s)
+def stop(query: StreamingQuery, timeout_s: float = 30.0, poll_s: float = 0.05) -> bool:
+    """Graceful stop between micro-batches: wait until no batch is running (at
+    most ``timeout_s``), then stop. True if no batch had to be aborted."""
+    deadline = time.monotonic() + timeout_s
+    while query.isActive and query.status["isTriggerActive"] and time.monotonic() < deadline:
+        time.sleep(poll_s)
+    idle = not (query.isActive and query.status["isTriggerActive"])
     query.stop()
+    return idle

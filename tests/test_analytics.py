@@ -154,30 +154,15 @@ def test_page(spark):
     assert W.page_count(df, 5).collect()[0]["total_pages"] == 3
 
 
-def test_exact_quantiles_distributed_path_matches_percentile(spark):
-    """The bounded distributed path gives the same edges as one buffer."""
+def test_exact_quantiles(spark):
     import random
     rnd = random.Random(5)
     vals = [float(rnd.randint(0, 400)) for _ in range(3000)] + [None] * 7
     df = spark.createDataFrame([(v,) for v in vals], "x double").repartition(6)
-    small = S.exact_quantiles(df, "x", S.TERTILES)
-    spread = S.exact_quantiles(df, "x", S.TERTILES, buffer_values=10)   # forces the ranked path
-    assert spread == small
     import numpy as np
     clean = sorted(v for v in vals if v is not None)
-    for q, e in zip(S.TERTILES, small):
+    for q, e in zip(S.TERTILES, S.exact_quantiles(df, "x", S.TERTILES)):
         pos = (len(clean) - 1) * q
         lo, hi = int(np.floor(pos)), int(np.ceil(pos))
         assert abs(e - (clean[lo] + (clean[hi] - clean[lo]) * (pos - lo))) < 1e-9
-
-
-def test_rfm_scores_same_on_both_quantile_paths(spark, monkeypatch):
-    import random
-    rnd = random.Random(11)
-    df = spark.createDataFrame([(i, float(rnd.randint(0, 50)), rnd.randint(1, 9)) for i in range(200)],
-                               "customer_id int, total_spent double, total_invoices int")
-    a = sorted(map(tuple, S.rfm_scores(df).collect()))
-    monkeypatch.setattr(S, "EXACT_BUFFER_VALUES", 0)
-    monkeypatch.setattr(S._edges, "__defaults__", (0,))
-    b = sorted(map(tuple, S.rfm_scores(df).collect()))
-    assert a == b
+    assert S.exact_quantiles(df.where("x IS NULL"), "x", S.TERTILES) is None

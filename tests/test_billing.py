@@ -152,3 +152,15 @@ def test_documents_of_other_months_survive_a_rerun(spark, scratch):
                                                    dt.date(2024, 2, 29)), path)     # re-run February
     got = sorted(r["billing_period"] for r in spark.read.text(path).select("billing_period").collect())
     assert [str(x) for x in got] == ["2024-01", "2024-02"]
+
+
+def test_late_usage_adds_documents(spark, scratch):
+    """A second run of a month keeps the documents of the first."""
+    c = customers(spark, [{"customer_id": "c1"}, {"customer_id": "c2"}])
+    path = scratch("docs")
+    first = rated(spark, [{"customer_id": "c1"}])
+    SK.write_invoice_documents(B.invoice_documents(c, rates(spark), first, no_invoices(spark), AS_OF), path)
+    both = rated(spark, [{"customer_id": "c1"}, {"customer_id": "c2"}])
+    SK.write_invoice_documents(B.invoice_documents(c, rates(spark), both, no_invoices(spark), AS_OF), path)
+    got = sorted(json.loads(r["value"])["customer_id"] for r in spark.read.text(path).collect())
+    assert got == ["c1", "c2"]

@@ -169,3 +169,31 @@ def test_declared_driver_schemas_match_files(spark):
             path = f"/root/testdata/{sf}/{name}.parquet"
             if os.path.exists(path):
                 assert spark.read.parquet(path).schema.simpleString() == schema.simpleString(), (sf, name)
+
+
+def test_shared_folder_is_required_on_a_cluster():
+    import pytest
+    from meterbill.session import checkpoint_root
+
+    class Conf:
+        def __init__(self, **kv):
+            self.kv = kv
+
+        def get(self, key, default=None):
+            return self.kv.get(key, default)
+
+    class Session:
+        conf = Conf(**{"spark.master": "spark://host:7077"})
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(Session())
+    Session.conf = Conf(**{"spark.master": "yarn", "spark.checkpoint.dir": "hdfs:///ckpt/"})
+    assert checkpoint_root(Session()) == "hdfs:///ckpt"
+
+
+def test_scratch_folders_are_deleted(spark, tmp_path, monkeypatch):
+    import os
+    from meterbill import session
+    monkeypatch.setattr(session, "_SCRATCH", [f"file://{tmp_path}/a"])
+    spark.range(3).write.parquet(f"file://{tmp_path}/a")
+    session.drop_scratch(spark.sparkContext._gateway.jvm)
+    assert not os.path.exists(tmp_path / "a")

@@ -132,8 +132,25 @@ def test_incremental_window_prunes_history_but_stays_exact(spark, scratch):
     write_rated(first, path)
     stored = spark.read.parquet(path)
     full = RT.rate(n, c, rates(spark), stored, AS_OF)
-    windowed = RT.rate(n, c, rates(spark), stored, AS_OF, since=dt.date(2024, 2, 1))
+    windowed = RT.rate(n, c, rates(spark), stored, AS_OF, arrived_since=dt.date(2024, 2, 1))
     assert [r["record_hash"] for r in full.collect()] == ["h2"]
     assert [r["record_hash"] for r in windowed.collect()] == ["h2"]     # h3 (unmatched) not re-rated
     plan = windowed._jdf.queryExecution().executedPlan().toString()
     assert "usage_month" in plan and "PartitionFilters" in plan
+
+
+def test_incremental_run_keeps_late_and_untimed_records(spark):
+    """Bounded by arrival: event times do not matter, null ones included."""
+    rows = [{"timestamp": dt.datetime(2024, 1, 2, 10)}, {"timestamp": None}, {"timestamp": dt.datetime(2024, 2, 20, 10)}]
+    n = cdr(spark, rows).withColumn("arrival_date", F.when(F.col("record_hash") == "h2", F.lit(dt.date(2024, 2, 1)))
+                                    .otherwise(F.lit(dt.date(2024, 2, 21))))
+    new = RT.unprocessed(n, empty_frame(spark, RATED_CDR), arrived_since=dt.date(2024, 2, 21))
+    assert sorted(r["record_hash"] for r in new.collect()) == ["h0", "h1"]
+
+
+def test_data_cost_is_exact_and_safe(spark):
+    df = spark.createDataFrame([(0.004, 0.02), (1.239, 0.02), (1e11, 0.02), (1e30, 0.02), (None, 0.02)], "mb double, p double")
+    got = [r[0] for r in df.select(R.data_cost(F.col("mb"), F.col("p")).cast("double")).collect()]
+    assert got == [0.00008, 0.02478, 2e9, None, 0.0]
+    ok = [r[0] for r in df.select(R.is_priceable(F.lit("data"), F.col("mb"), F.col("p"))).collect()]
+    assert ok == [True, True, True, False, True]

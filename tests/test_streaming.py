@@ -18,13 +18,13 @@ def rec(second, caller="212600000001", duration=60):
             "callee_id": "212600000002", "duration_sec": duration, "cell_id": "C_01", "technology": "4G"}
 
 
-def run(spark, log, out, ckpt, delay=SM.DEFAULT_DELAY):
-    stream = read_cdr_stream(spark, "text", log)
+def run(spark, log, out, ckpt):
+    stream = read_cdr_stream(spark, "text", log, maxFilesPerTrigger="1")
     q = SM.start_mediation(M.to_normalized(M.keep_valid(SM.dedup_stream(
-        M.with_record_hash(M.validate(M.normalize_parties(decode_cdr(stream)))), delay))),
+        M.with_record_hash(M.validate(M.normalize_parties(decode_cdr(stream))))))),
         out, ckpt, available_now=True)
     q.awaitTermination()
-    return spark.read.parquet(out).drop("batch_id", "event_date")
+    return spark.read.parquet(out).drop("stream", "batch_id", "event_date")
 
 
 def test_stream_equals_batch(spark, scratch):
@@ -47,25 +47,43 @@ def test_restart_resumes_and_dedups_across_runs(spark, scratch):
     assert result.select("record_hash").distinct().count() == 7
 
 
-def test_late_rows_are_dropped_after_watermark(spark, scratch):
-    log, out, ckpt = scratch("log"), scratch("out"), scratch("ckpt")
-    day = lambda h, c: {**rec(0, caller=c), "timestamp": f"2024-01-05T{h:02d}:00:00.000000Z"}
-    write_log(spark, f"{log}/day=1", [day(12, "212600000001")])
-    run(spark, log, out, ckpt, delay="1 hour")
-    write_log(spark, f"{log}/day=2", [day(9, "212600000002"), day(13, "212600000003")])
-    got = sorted(r["msisdn"] for r in run(spark, log, out, ckpt, delay="1 hour").collect())
-    assert got == ["212600000001", "212600000003"]   # 09:00 is older than 12:00 - 1h
+def test_no_row_is_lost_over_micro_batches(spark, scratch):
+    """Late, untimed and repeated rows over several batches: as in one batch."""
+    log = scratch("log")
+    at = lambda h, c, **k: {**rec(0, caller=c), "timestamp": f"2024-01-05T{h:02d}:00:00.000000Z", **k}
+    days = [[at(12, "212600000001"), at(20, "212600000002")],
+            [at(9, "212600000003"), {**rec(0, caller="212600000004"), "timestamp": "garbage"}],
+            [at(1, "212600000005"), at(12, "212600000001"), {**rec(0, caller="212600000004"), "timestamp": "garbage"}]]
+    for n, records in enumerate(days):
+        write_log(spark, f"{log}/day={n}", records)
+    everything = spark.createDataFrame([(json.dumps(r),) for day in days for r in day], "value string")
+    want = sorted((r["record_hash"] for r in run_mediation(everything).collect()))
+    got = run(spark, log, scratch("out"), scratch("ckpt"))
+    assert sorted(r["record_hash"] for r in got.collect()) == want and len(want) == 5
 
 
-def test_unbounded_dedup_option_keeps_all_state(spark, scratch):
+def test_anti_join_sink_dedups_without_state(spark, scratch):
     log, out, ckpt = scratch("log"), scratch("out"), scratch("ckpt")
-    write_log(spark, f"{log}/day=1", [rec(0), rec(0)])
-    assert run(spark, log, out, ckpt, delay=None).count() == 1
+
+    def deliver():
+        hashed = M.with_record_hash(M.validate(M.normalize_parties(decode_cdr(
+            read_cdr_stream(spark, "text", log, maxFilesPerTrigger="1")))))
+        SM.start_mediation(M.to_normalized(M.keep_valid(hashed)), out, ckpt, available_now=True,
+                           sink="anti_join").awaitTermination()
+        return sorted(r["record_hash"] for r in spark.read.parquet(out).collect())
+    untimed = {**rec(0), "timestamp": None}
+    write_log(spark, f"{log}/day=1", [rec(1), rec(2), rec(2), untimed])
+    first = deliver()
+    assert len(first) == 3
+    write_log(spark, f"{log}/day=2", [rec(2), rec(3), untimed])
+    second = deliver()
+    assert len(second) == 4 and set(first) < set(second)
 
 
 def test_replayed_batch_overwrites_its_output(spark, scratch):
-    out = scratch("out")
-    writer = SM.idempotent_batch_writer(out)
+    out, ckpt = scratch("out"), scratch("ckpt")
+    spark.createDataFrame([("q1",)], "id string").coalesce(1).write.json(f"{ckpt}/metadata")
+    writer = SM.idempotent_batch_writer(out, ckpt)
     df = spark.createDataFrame([(1,), (2,)], "x int")
     writer(df, 0)
     writer(df, 0)            # the same batch id again, as after a failure
@@ -73,6 +91,16 @@ def test_replayed_batch_overwrites_its_output(spark, scratch):
     assert spark.read.parquet(out).count() == 3
 
 
+def test_new_checkpoint_keeps_earlier_output(spark, scratch):
+    out = scratch("out")
+    for n in (1, 2):
+        log, ckpt = scratch("log"), scratch("ckpt")
+        write_log(spark, f"{log}/day=1", [rec(n)])
+        SM.start_mediation(run_mediation(read_cdr_stream(spark, "text", log)), out, ckpt, available_now=True,
+                           sink="foreach_batch").awaitTermination()
+    assert spark.read.parquet(out).count() == 2
+
+
 def test_file_sink_partitions_by_event_date(spark, scratch):
     log, out, ckpt = scratch("log"), scratch("out"), scratch("ckpt")
     write_log(spark, f"{log}/day=1", [rec(1), {**rec(2), "timestamp": "2024-01-06T08:00:00.000000Z"}])
@@ -91,34 +119,20 @@ def test_null_event_time_goes_to_reject(spark):
     assert SM.null_time_rows(df).count() == 2
 
 
-def test_graceful_stop(spark, scratch):
+def test_graceful_stop_lets_the_batch_commit(spark, scratch):
+    import time
     log, out, ckpt = scratch("log"), scratch("out"), scratch("ckpt")
     write_log(spark, f"{log}/day=1", [rec(s) for s in range(3)])
-    q = SM.start_mediation(run_mediation(read_cdr_stream(spark, "text", log)), out, ckpt, trigger="1 second")
-    q.processAllAvailable()
-    SM.stop(q, 2.0)
-    assert not q.isActive
-    assert spark.read.parquet(out).count() == 3
-
-
-def test_incremental_rating_prunes_stream_output_by_date(spark, scratch):
-    import datetime as dt
-    from meterbill.operators import rating as RT
-    from meterbill.schemas import RATED_CDR
-    from meterbill.sources.tables import empty_frame
-    from meterbill.sources.fixtures import product_rates
-    log, out, ckpt = scratch("log"), scratch("out"), scratch("ckpt")
-    write_log(spark, f"{log}/day=1", [rec(1), {**rec(2), "timestamp": "2024-01-20T08:00:00.000000Z"}])
-    SM.start_mediation(run_mediation(read_cdr_stream(spark, "text", log)), out, ckpt,
-                       available_now=True).awaitTermination()
-    normalized = spark.read.parquet(out)
-    cust = spark.createDataFrame([("212600000001", "n", "postpaid", "RP_BASIC", dt.date(2020, 1, 1), "active",
-                                   "RABAT", False)],
-                                 "customer_id string, customer_name string, subscription_type string, "
-                                 "rate_plan_id string, activation_date date, status string, region string, "
-                                 "is_student boolean")
-    out_rows = RT.rate(normalized, cust, product_rates(spark), empty_frame(spark, RATED_CDR),
-                       dt.date(2024, 1, 31), since=dt.date(2024, 1, 10))
-    assert out_rows.count() == 1
-    plan = out_rows._jdf.queryExecution().executedPlan().toString()
-    assert "event_date" in plan and "PartitionFilters: [isnotnull(event_date" in plan
+    begun = []
+
+    def slow(batch, batch_id):
+        begun.append(batch_id)
+        time.sleep(4)
+        batch.write.mode("append").parquet(out)
+    stream = run_mediation(read_cdr_stream(spark, "text", log))
+    q = stream.writeStream.foreachBatch(slow).option("checkpointLocation", ckpt).trigger(processingTime="1 hour").start()
+    while not begun:
+        time.sleep(0.05)
+    assert SM.stop(q, 60.0)              # a batch is in flight: it commits first
+    assert not q.isActive and spark.read.parquet(out).count() == 3
+    assert q.lastProgress["batchId"] == 0
