@@ -8,38 +8,23 @@ and go. Rows equal in both are one document and share its fate.
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``.
-
-    Only where the session has none and runs in one process (tests) a local
-    folder is taken; on a cluster a missing setting is an error.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.conf.get("spark.master", "local").split("[")[0] == "local":
-            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-        root = os.path.join(tempfile.gettempdir(), "meterbill-llm")
-    return root.rstrip("/")
+from meterbill.session import scratch_path
 
 
 class Scratch:
-    """Tables written below the shared folder; ``drop`` removes those that no
-    later step reads. The tables behind the returned DataFrame stay."""
+    """Tables written below the folder that driver and executors share
+    (``spark.checkpoint.dir``); ``drop`` removes those that no later step
+    reads. The tables behind a returned DataFrame stay until the driver ends."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
-        self.root = f"{shared_dir(spark)}/llm/{name}-{uuid.uuid4().hex[:12]}"
+        self.root = scratch_path(spark, f"llm-{name}")
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
