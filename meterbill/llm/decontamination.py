@@ -6,8 +6,9 @@ every document's windows are hashed (by doubling: windows of 2, 4, 8 words
 are combined, not re-read), looked up, and each hit is verified word by word.
 Hits are then spans of words to cut, or documents to drop.
 
-The set is broadcast while it has at most ``MAX_BROADCAST_WINDOWS`` windows
-(measured); a larger one is joined by shuffle with the same result.
+A set of more than ``MAX_BROADCAST_WINDOWS`` windows (they are counted) is cut
+by hash into blocks of about that size; each block is broadcast in a scan of
+its own and the hits are put together, with the same result.
 
 Defined cases: null and empty texts have no words and are clean; items
 without words are skipped; a null item id counts as the id ''. Repeated items
@@ -90,13 +91,29 @@ def scan(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, n: int = WI
     grams = benchmark_windows(benchmark, n)
     sizes = {r["length"]: r["count"] for r in grams.groupBy("length").count().collect()}   # at most n rows
     lengths = sorted(sizes, reverse=True)
+    blocks = max(1, -(-sum(sizes.values()) // MAX_BROADCAST_WINDOWS))
+    if blocks == 1:
+        return _scan_block(spark, docs, _with_hash(grams, lengths) if lengths else None, lengths)
+    hits = None
+    for b in range(blocks):
+        block = _with_hash(grams.where(F.pmod(F.xxhash64("gram"), F.lit(blocks)) == b), lengths)
+        part = _scan_block(spark, docs, block, lengths).where(F.size("spans") > 0)
+        hits = part if hits is None else hits.unionByName(part)
+    hits = hits.groupBy(F.col("doc_id").alias("hit_id"), F.col("key").alias("hit_key")).agg(
+        merged(F.flatten(F.collect_set("spans"))).alias("spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
+    rows = docs.select("doc_id", text_key(F.col("text")).alias("key"), F.size(words(F.col("text"))).cast("long").alias("n_words"))
+    return (rows.join(hits, rows["doc_id"].eqNullSafe(hits["hit_id"]) & (rows["key"] == hits["hit_key"]), "left")
+            .select("doc_id", "key", "n_words", F.coalesce("spans", F.array().cast("array<struct<begin:int,end:int>>")).alias("spans"),
+                    F.coalesce("items", F.array().cast("array<string>")).alias("items")))
+
+
+def _scan_block(spark: SparkSession, docs: DataFrame, grams: DataFrame | None, lengths: list[int]) -> DataFrame:
+    """``scan`` against windows that fit a broadcast."""
     marker = spark.range(_MARKERS).select(
         F.col("id").alias("h"), F.lit(0).alias("length"), F.array().cast("array<string>").alias("gram"),
         F.array().cast("array<string>").alias("items"))
-    table = marker.unionByName(_with_hash(grams, lengths)) if lengths else marker
-    if sum(sizes.values()) <= MAX_BROADCAST_WINDOWS:
-        table = F.broadcast(table)
-
+    table = F.broadcast(marker if grams is None else marker.unionByName(grams))
     d = docs.select("doc_id", text_key(F.col("text")).alias("key"), words(F.col("text")).alias("w"))
     d = (d.withColumn("row", F.monotonically_increasing_id()).withColumn("n_words", F.size("w"))
           .withColumn("h1", F.transform("w", lambda x: F.xxhash64(x))))
