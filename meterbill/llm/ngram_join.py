@@ -8,9 +8,12 @@ form components.
 2. Shingles that many documents hold are counted over all documents, so that
    every set can be ordered from rare to frequent. With ``T = ceil(t * size)``
    the least overlap, two linked sets share ``l`` of their ``size - T + l``
-   rarest shingles: the short inverted lists. Long lists never bring sets together.
-3. A set stays a candidate while at least ``l`` of these shingles occur in
-   another set's. Candidates that meet in a short list form groups. In a group, inverted
+   rarest shingles: only these are put in inverted lists.
+3. Short lists (at most ``_SHORT`` sets) are merged: each pair's common lists are
+   counted. A pair stays if these, and the long lists that both could still
+   share, reach ``l``; sets with ``l`` long lists also meet in those. What meets
+   forms groups.
+4. In a group, inverted
    lists are built and each set asks for those that occur in at least T of its
    lists: the short lists are merged by a heap, survivors of ``T - L`` are
    probed by binary search in the ``L`` long lists, and the exact overlap decides.
@@ -44,7 +47,8 @@ MAX_COUNTED = 1_000_000       # rows of the broadcast table of frequent shingles
 MAX_BROADCAST_DOCS = 2_000_000
 _FLUSH = 2_000_000            # shingles a task holds before it counts them
 _TASK_SHINGLES = 1_500_000    # shingles that meet in one search task
-_LEAD = 50                    # l is one of so many shingles of a set (at least 1)
+_LEAD = 25                    # l is one of so many shingles of a set (at least 1)
+_SHORT = 8                    # sets of a list whose pairs are counted
 _MU = 0.01                    # cost of a probe against a heap step
 
 
@@ -211,19 +215,27 @@ def divide_skip(num: int, den: int) -> Callable:
     return search
 
 
-def _hubs(lists: DataFrame) -> DataFrame:
-    return lists.groupBy("token").agg(F.min("node").alias("hub"), F.max("node").alias("far")).where("hub <> far")
-
-
-def _shared(lists: DataFrame) -> DataFrame:
-    """Rows of the inverted lists (token, node) that hold two or more nodes."""
-    return lists.join(_hubs(lists).select("token"), "token")
-
-
-def _stars(lists: DataFrame) -> DataFrame:
-    """Each list as links to its smallest node."""
-    return (lists.join(_hubs(lists), "token").where("node <> hub")
-            .select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct())
+def _candidates(scratch: Scratch, classes: DataFrame) -> DataFrame:
+    """Links ``a, b`` that bring together all sets that may reach the overlap."""
+    postings = classes.select("node", F.explode("prefix").alias("token"))
+    sizes = postings.groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
+    lists = scratch.write(postings.join(sizes, "token").join(classes.select("node", "least"), "node"), "lists")
+    short, long = lists.where(F.col("n") <= _SHORT), lists.where(F.col("n") > _SHORT)
+    n_long = long.groupBy("node").agg(F.count("*").alias("n_long"))
+    # short lists: at most _SHORT ** 2 / 2 pairs each
+    x, y = short.select("token", F.col("node").alias("a")), short.select("token", F.col("node").alias("b"))
+    pairs = x.join(y, "token").where("a < b").groupBy("a", "b").agg(F.count("*").alias("common"))
+    about = lists.groupBy("node").agg(F.first("least").alias("least")).join(n_long, "node", "left").select(
+        "node", "least", F.coalesce("n_long", F.lit(0)).alias("n_long"))
+    for end in ("a", "b"):
+        pairs = pairs.join(about.select(F.col("node").alias(end), F.col("least").alias(f"least_{end}"),
+                                        F.col("n_long").alias(f"long_{end}")), end)
+    pairs = pairs.where(F.col("common") + F.least("long_a", "long_b") >= F.greatest("least_a", "least_b")).select("a", "b")
+    # long lists: links to the smallest of those that could reach the overlap by long lists alone
+    able = long.join(about.where("n_long >= least").select("node"), "node", "left_semi").select("token", "node")
+    hubs = able.groupBy("token").agg(F.min("node").alias("hub"))
+    stars = able.join(hubs, "token").where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
+    return pairs.unionByName(stars).distinct()
 
 
 def link_documents(spark: SparkSession, docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
@@ -238,21 +250,14 @@ def link_documents(spark: SparkSession, docs: DataFrame, k: int = 5, num: int =
         "doc_id long, key long, sig binary, size long, least long, prefix array<long>"), "sets")
 
     # classes of equal sets; ids of 64 bits are enough to bring sets together, links are verified
-    filled = sets.where("size > 0")
-    classes = scratch.write(filled.groupBy("sig").agg(
-        F.min(F.struct("doc_id", "key")).alias("first"), F.min("doc_id").alias("least_id"), F.first("size").alias("size")), "classes")
-    lists = filled.select(F.xxhash64("sig").alias("node"), "least", F.explode("prefix").alias("token"))
-    shared = _shared(lists.select("token", "node"))
-    # copies of a set count its shingles together: as many for each of them
-    counts = shared.groupBy("node").agg(F.countDistinct("token").alias("n"))
-    needs = filled.groupBy(F.xxhash64("sig").alias("node")).agg(F.min("least").alias("least"))
-    candidates = counts.join(needs, "node").where("n >= least").select("node")
-    lists = scratch.write(shared.join(candidates, "node", "left_semi").distinct(), "lists")
-    stars = _stars(lists)
+    classes = scratch.write(sets.where("size > 0").groupBy("sig").agg(
+        F.min(F.struct("doc_id", "key")).alias("first"), F.min("doc_id").alias("least_id"), F.first("size").alias("size"),
+        F.first("least").alias("least"), F.first("prefix").alias("prefix")).withColumn("node", F.xxhash64("sig")), "classes")
+    stars = _candidates(scratch, classes)
     groups = scratch.write(components(scratch, stars, "near").select(F.col("node").alias("n64"), F.col("root").alias("grp")), "groups")
     scratch.drop("lists")
 
-    members = classes.withColumn("n64", F.xxhash64("sig")).join(groups, "n64").select(
+    members = classes.drop("node").withColumn("n64", F.xxhash64("sig")).join(groups, "n64").select(
         "grp", F.col("sig").alias("node"), F.col("size").alias("weight"), "first")
     wanted = scratch.write(deal(members, _TASK_SHINGLES).select(
         "grp", F.col("node").alias("sig"), "meets", F.col("first.doc_id").alias("want_id"), F.col("first.key").alias("want_key")), "wanted")
