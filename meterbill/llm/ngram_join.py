@@ -44,7 +44,7 @@ from .clusters import Forest, components, deal, spanning_links
 from .common import Scratch, chunks, fresh, mix64, shingle_sets, text_key, texts_of
 
 MAX_COUNTED = 1_000_000       # rows of the broadcast table of frequent shingles
-MAX_BROADCAST_DOCS = 2_000_000
+MAX_BROADCAST_DOCS = 250_000
 _FLUSH = 2_000_000            # shingles a task holds before it counts them
 _TASK_SHINGLES = 1_500_000    # shingles that meet in one search task
 _LEAD = 25                    # l is one of so many shingles of a set (at least 1)
