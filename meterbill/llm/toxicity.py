@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from .common import Scratch, chunks, held_out, text_key, texts_of
 
 MAX_FEATURES = 50_000     # size of the learned lexicon
+MAX_BROADCAST_LABELS = 500_000
 MIN_DOCUMENTS = 5
 PRIOR = 3.0               # documents of each kind that a feature is credited with
 TOP = 4                   # words of a document that count as evidence
@@ -307,7 +308,8 @@ def classify(spark: SparkSession, docs: DataFrame, labels: DataFrame, label: str
     known = labels.where(F.col(label).isin(0, 1) & ~held_out(F.col("doc_id"))).select(
         F.col("doc_id").alias("label_id"), F.col(label).cast("int").alias("label"))
     fold = F.crc32(F.col("label_id").cast("string").cast("binary")) % 5
-    labelled = docs.select("doc_id", "text").join(known, F.col("doc_id") == F.col("label_id"))
+    few = known.count() <= MAX_BROADCAST_LABELS        # 16 bytes each; more are joined by shuffle
+    labelled = docs.select("doc_id", "text").join(F.broadcast(known) if few else known, F.col("doc_id") == F.col("label_id"))
     shared = spark.sparkContext.broadcast(cost)                              # 27^4 numbers
     counts = (labelled.where(fold != CALIBRATION_FOLD).select("label", "text")
               .mapInArrow(_count_features(shared), "feature string, toxic long, other long")
