@@ -13,7 +13,7 @@ are set by ``TREES`` and ``DEPTH``.
 
 Defined cases: null text has the statistics of the empty text. A null label is
 not learned; repeated labels of a document are all learned. Where no label or
-only one value can be learned, every score is the share of label 1 (0.5
+only one value can be learned, or no split, every score is the share of label 1 (0.5
 without any). Equal texts get equal scores. An empty table gives an empty
 result; other columns are not read.
 """
@@ -119,14 +119,17 @@ def learn(rows: DataFrame) -> tuple[list[tuple[Rule, float]], float]:
     from pyspark.ml.feature import VectorAssembler
 
     by_label = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}      # two rows
+    share = (by_label.get(1.0, 0) + 0.5) / (sum(by_label.values()) + 1)
+    prior = float(np.log(share / (1 - share)))
     if len(by_label) < 2:
-        share = (by_label.get(1.0, 0) + 0.5) / (sum(by_label.values()) + 1)
-        return [], float(np.log(share / (1 - share)))
+        return [], prior
     features = VectorAssembler(inputCols=STATISTICS, outputCol="features").transform(rows).select("features", "label")
     forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, featureSubsetStrategy="onethird",
                                     subsamplingRate=0.7, minInstancesPerNode=5).fit(features)
     found = [r for t in forest.trees for r in tree_rules(t._call_java("rootNode"), STATISTICS)]
     rules = sorted({simplified(r) for r in found})
+    if not rules:                                  # too few rows for a split
+        return [], prior
     named = {f"r{i}": rule_column(r).cast("double") for i, r in enumerate(rules)}
     fired = rows.select("label", *[c.alias(n) for n, c in named.items()])
     fired = VectorAssembler(inputCols=list(named), outputCol="features").transform(fired).select("features", "label")
