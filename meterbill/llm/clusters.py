@@ -40,21 +40,34 @@ class Forest:
             self.links.append((i, j))
 
 
+_FOREST_EDGES = 500_000   # edges that a task holds before it reduces them
+
+
 def _local_forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Edges of a task replaced by stars of their local components."""
-    for batch in batches:
-        both = pa.concat_arrays([batch.column("a"), batch.column("b")]).dictionary_encode()
-        ids = both.indices.to_numpy()
-        n = batch.num_rows
+    held: list[pa.RecordBatch] = []
+
+    def reduced() -> pa.RecordBatch:
+        table = pa.Table.from_batches(held).combine_chunks()
+        both = pa.concat_arrays([c for x in ("a", "b") for c in table.column(x).chunks]).dictionary_encode()
+        ids, n = both.indices.to_numpy(), table.num_rows
         forest = Forest(len(both.dictionary))
         for i, j in zip(ids[:n].tolist(), ids[n:].tolist()):
             forest.join(i, j)
         nodes = np.arange(len(both.dictionary))
         roots = np.array([forest.root(i) for i in nodes.tolist()], np.int64)
         keep = np.flatnonzero(nodes != roots)
-        yield pa.RecordBatch.from_arrays(
+        return pa.RecordBatch.from_arrays(
             [both.dictionary.take(pa.array(keep)), both.dictionary.take(pa.array(roots[keep]))], ["a", "b"])
 
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) > _FOREST_EDGES:
+            yield reduced()
+            held = []
+    if held:
+        yield reduced()
+
 
 def _down(e: DataFrame) -> DataFrame:
     """Each edge once, from its larger to its smaller end."""
