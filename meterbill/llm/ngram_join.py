@@ -241,7 +241,8 @@ def _candidates(scratch: Scratch, classes: DataFrame) -> DataFrame:
 def link_documents(spark: SparkSession, docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
                    name: str = "ngram") -> DataFrame:
     """One row for each row of ``docs``: ``doc_id, key, n_shingles,
-    component_id, sig`` (key: the text's hash)."""
+    component_id, sig, root`` (key: the text's hash; root: the least ``sig`` of
+    the component, which names it even where ids are null or repeated)."""
     scratch = Scratch(spark, name)
     frequent = spark.sparkContext.broadcast(frequent_shingles(docs, k))     # at most MAX_COUNTED rows
     keyed = docs.select("doc_id", text_key(F.col("text")).alias("key"), "text")
@@ -272,15 +273,15 @@ def link_documents(spark: SparkSession, docs: DataFrame, k: int = 5, num: int =
 
     named = classes.select("sig", "least_id").join(labels.withColumnRenamed("node", "sig"), "sig")
     least = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    linked = named.join(least, "root").select("sig", "component_id")
+    linked = named.join(least, "root").select("sig", "component_id", "root")
     of_class = scratch.write(classes.join(linked, "sig", "left").select(
-        "sig", F.coalesce("component_id", "least_id").alias("component_id")), "of_class")
+        "sig", F.coalesce("component_id", "least_id").alias("component_id"), F.coalesce("root", "sig").alias("root")), "of_class")
     scratch.drop("classes", "links")
     rows = sets.select("doc_id", "key", "sig", F.col("size").alias("n_shingles"))
     joined = rows.where("n_shingles > 0").join(of_class, "sig", "left").select(
-        "doc_id", "key", "n_shingles", "component_id", "sig")
+        "doc_id", "key", "n_shingles", "component_id", "sig", "root")
     return joined.unionByName(rows.where("n_shingles = 0").select(
-        "doc_id", "key", "n_shingles", F.col("doc_id").alias("component_id"), "sig"))
+        "doc_id", "key", "n_shingles", F.col("doc_id").alias("component_id"), "sig", F.col("sig").alias("root")))
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -290,7 +291,7 @@ def keep_one(spark: SparkSession, docs: DataFrame, k: int = 5, num: int = 80, de
     i, x = fresh(docs, "keep_id"), fresh(docs, "keep_key")
     empty = linked.where("n_shingles = 0").select(F.col("doc_id").alias(i), F.col("key").alias(x), F.lit(True).alias("all_copies"))
     first = (linked.where("n_shingles > 0 AND doc_id <=> component_id")
-             .groupBy("component_id").agg(F.min(F.struct("doc_id", "key")).alias("first"), F.count("*").alias("copies"))
+             .groupBy("root").agg(F.min(F.struct("doc_id", "key")).alias("first"), F.count("*").alias("copies"))
              .select(F.col("first.doc_id").alias(i), F.col("first.key").alias(x), (F.col("copies") < 2).alias("all_copies")))
     keep = Scratch(spark, "keep_one").write(first.unionByName(empty.distinct()), "keep")
     flag = fresh(docs, "all_copies")

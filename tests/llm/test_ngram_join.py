@@ -82,6 +82,18 @@ def test_keep_one(spark):
     assert N.keep_one(spark, docs.limit(0)).count() == 0
 
 
+def test_keep_one_of_each_component_whatever_its_ids(spark):
+    """Unrelated rows without ids, one id with two texts, and real copies of them."""
+    rows = [(None, "first text that has no id"), (None, "second and quite different words"), (None, "First text that has no id"),
+            (7, "one text of the id seven"), (7, "something else under that same id"), (8, "One text of the id seven"),
+            (9, "second and quite different words")]
+    got = sorted(((r["doc_id"], r["text"]) for r in N.keep_one(spark, table(spark, rows)).collect()), key=str)
+    assert len(got) == 4
+    assert [(i, t.lower()) for i, t in got] == sorted([
+        (None, "first text that has no id"), (9, "second and quite different words"),
+        (7, "one text of the id seven"), (7, "something else under that same id")], key=str)
+
+
 def test_divide_skip_spans_all_components():
     import numpy as np
     random.seed(8)
