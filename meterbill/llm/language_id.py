@@ -40,6 +40,7 @@ SMOOTHING = 0.5
 _CUT = 64                 # characters of a word between two cuts
 _REMEMBERED = 300_000     # words a task remembers before it starts anew
 _SCALE = 20.0             # per character, keeps the products near 1
+_SMALL = 1e-200           # forward sums below are taken again as logs
 
 
 def load_pieces(path: str | None = None) -> list[str]:
@@ -158,11 +159,27 @@ class Lattice:
         """log P(word) in each language; ``prob`` from ``scaled``."""
         out = np.zeros((len(words), prob.shape[1]))
         for at, some, longest in self._alike(words):
-            sums = self.forward(self.arcs(some), len(some), longest, prob)
+            arcs = self.arcs(some)
+            sums = self.forward(arcs, len(some), longest, prob)
             n = np.array([len(w) for w in some])
-            out[at] = np.log(sums[np.arange(len(some)), n]) - (n * np.log(_SCALE))[:, None]
+            whole = sums[np.arange(len(some)), n]
+            with np.errstate(divide="ignore"):
+                logs = np.log(whole)
+            if (whole < _SMALL).any():                        # sums too small for a double
+                logs = self.forward_logs(arcs, len(some), longest, prob)[np.arange(len(some)), n]
+            out[at] = logs - (n * np.log(_SCALE))[:, None]
         return out
 
+    def forward_logs(self, arcs: dict, n_words: int, longest: int, prob: np.ndarray) -> np.ndarray:
+        """Logs of ``forward``, for sums that a double cannot hold."""
+        logs = np.full((n_words, longest + 1, prob.shape[1]), -np.inf)
+        logs[:, 0] = 0
+        price = np.log(prob)
+        for i in range(longest):
+            for n, (rows, pieces) in arcs.get(i, {}).items():
+                logs[rows, i + n] = np.logaddexp(logs[rows, i + n], logs[rows, i] + price[pieces])
+        return logs
+
     def expected_counts(self, words: list[str], counts: np.ndarray) -> np.ndarray:
         """Expected pieces (pieces x languages) of words seen ``counts`` times
         (words x languages), all pieces alike."""

@@ -32,6 +32,16 @@ def test_forward_sums_all_segmentations():
     assert np.allclose(got, want)
 
 
+def test_long_words_of_rare_characters_keep_finite_logs():
+    """Pieces of a language learned from 1e9 pieces; no cut has a large probability."""
+    lattice = L.Lattice(PIECES)
+    prob = np.full((len(PIECES) + 1, 2), [[0.5e-9, 1e-10]])
+    words = ["x" * 64, "é" * 60, "x" * 3]
+    logs = lattice.log_probability(words, lattice.scaled(prob))
+    assert np.isfinite(logs).all()
+    assert np.allclose(logs, np.array([[64], [60], [3]]) * np.log([[0.5e-9, 1e-10]]))
+
+
 def test_expected_counts_weight_all_segmentations():
     lattice, counts = L.Lattice(PIECES), np.arange(len(WORDS) * 2, dtype=float).reshape(-1, 2)
     n = len(PIECES) + 1
