@@ -13,6 +13,7 @@ from .language_id import op4_language_id
 from .line_dedup import op8_line_dedup
 from .ngram_join import op10_ngram_join
 from .packing import op6_packing
+from .pieces import op13_pieces
 from .quality import op5_quality
 from .sharding import op7_sharding
 from .token_files import op2_token_files
@@ -37,6 +38,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_line_dedup": op8_line_dedup,
         "op9_nearest": op9_nearest,
         "op10_ngram_join": op10_ngram_join,
+        "op13_pieces": op13_pieces,
         "pipeline": _pipeline,
     }
 
