@@ -15,6 +15,7 @@ from .ngram_join import op10_ngram_join
 from .packing import op6_packing
 from .pieces import op13_pieces
 from .quality import op5_quality
+from .resampling import op11_resampling
 from .sharding import op7_sharding
 from .token_files import op2_token_files
 from .toxicity import op1_toxicity
@@ -38,6 +39,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_line_dedup": op8_line_dedup,
         "op9_nearest": op9_nearest,
         "op10_ngram_join": op10_ngram_join,
+        "op11_resampling": op11_resampling,
         "op13_pieces": op13_pieces,
         "pipeline": _pipeline,
     }
