@@ -19,20 +19,27 @@ def unprocessed(normalized: DataFrame, rated: DataFrame, arrived_since: dt.date
     """Valid CDRs whose record_hash is not yet in rated_cdr.
 
     ``arrived_since`` (optional) bounds an incremental run by arrival: with an
-    ``arrival_date`` column on the normalized table, only what arrived from
-    that day on is read, whatever its event time, and late CDRs and those
-    without a timestamp are among them. A hash covers the timestamp, so a
-    copy that was rated before lies in the same usage month: of a rated
-    table stored by ``usage_month`` only the months of the new CDRs, and the
-    rows without one (unmatched rows keep only hash and msisdn), are read.
+    ``arrival_date`` column on the normalized table (the stream sinks write it),
+    only what arrived from that day on is read, whatever its event time, and
+    late CDRs and those without a timestamp are among them. A hash covers the
+    timestamp, so a copy that was rated before lies in the same usage month: of
+    a rated table stored by ``usage_month`` only the months of the new CDRs, and
+    the rows without one (unmatched rows keep only hash and msisdn), are read.
+    With an ``event_date`` partition column the months come from the partitions,
+    and no column of the new CDRs is read for them. A ``RatedStore`` as
+    ``rated`` is joined bucket by bucket, without shuffling it.
     """
     n = normalized.where(F.col("status") == STATUS_OK)
     if arrived_since is not None:
         if "arrival_date" in normalized.columns:
-            n = n.where(F.col("arrival_date").isNull() | (F.col("arrival_date") >= F.lit(arrived_since)))
+            since = F.col("arrival_date").isNull() | (F.col("arrival_date") >= F.lit(arrived_since))
+            normalized, n = normalized.where(since), n.where(since)
         if "usage_month" in rated.columns:
-            month = F.trunc(F.col("timestamp").cast("date"), "MM")
-            months = [r[0] for r in n.select(month.alias("m")).distinct().collect() if r[0] is not None]
+            if "event_date" in normalized.columns:
+                dates = normalized.select(F.trunc(F.col("event_date").cast("date"), "MM").alias("m"))
+            else:
+                dates = n.select(F.trunc(F.col("timestamp").cast("date"), "MM").alias("m"))
+            months = [r[0] for r in dates.distinct().collect() if r[0] is not None]
             rated = rated.where(F.col("usage_month").isNull() | F.col("usage_month").isin(months))
     return n.join(rated.select("record_hash"), "record_hash", "left_anti")
 
