@@ -102,12 +102,7 @@ def discount_tags(activation_date: Column, is_student: Column, as_of: dt.date,
 
 
 def register_sql_functions(spark, rules: TariffRules = DEFAULT_TARIFF) -> None:
-    """Expose the rating predicates to SQL callers as temporary SQL functions
-    (SQL bodies, so they stay JVM-side)."""
-    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION is_peak_hour(h INT) RETURNS BOOLEAN "
-              f"RETURN coalesce(h >= {rules.peak_start_hour} AND h < {rules.peak_end_hour}, false)")
-    days = ", ".join(str(d) for d in rules.weekend_days)
-    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION is_weekend_day(wd INT) RETURNS BOOLEAN "
-              f"RETURN coalesce(wd IN ({days}), false)")
-    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION is_international(p STRING) RETURNS BOOLEAN "
-              f"RETURN coalesce(NOT startswith(p, '{HOME_PREFIX}'), false)")
+    """The rating predicates for SQL callers (``functions/sql.py`` has the costs,
+    the discounts and rating as a table function)."""
+    from meterbill.functions.sql import register_predicates
+    register_predicates(spark, rules)

@@ -9,6 +9,7 @@ SQL twins live in ``meterbill.plans.oracle``.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
@@ -16,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterbill.functions import rating as R
+from meterbill.functions import sql as SQ
 from meterbill.functions.regions import region_of
 from meterbill.operators import analytics as A
 from meterbill.operators import billing as B
@@ -25,13 +27,16 @@ from meterbill.operators import rating as RT
 from meterbill.operators import segments as S
 from meterbill.operators import windows as W
 from meterbill.plans.jobs import run_billing, run_mediation, run_pipeline
-from meterbill.schemas import RATED_CDR, RAW_CDR
+from meterbill.schemas import NORMALIZED_CDR, RATED_CDR, RAW_CDR
 from meterbill.session import scratch_path
+from meterbill.sources import commits as CM
 from meterbill.sources import fixtures as FX
 from meterbill.sources import sinks as SK
 from meterbill.sources.cdr import decode_cdr, read_cdr_stream
+from meterbill.sources.rated_store import RatedStore
 from meterbill.sources.tables import empty_frame, read_or_empty, read_table, shared_cache, table_path
 from meterbill.streaming import mediation as SM
+from meterbill.streaming import winners as SW
 
 USAGE_AS_OF = FX.USAGE_AS_OF
 HISTORY_AS_OF = FX.HISTORY_AS_OF
@@ -225,6 +230,17 @@ def _(i):
     return i.spark.read.parquet(path)
 
 
+@q("sink_append_once")
+def _(i):
+    """Two runs, each started twice, the first attempt of one killed before its
+    commit: every record is there once."""
+    path, odd = scratch_path(i.spark, "normalized"), F.pmod(F.xxhash64("record_hash"), F.lit(2)) == 1
+    i.normalized.where(odd).write.parquet(f"{path}/run=odd")           # written, never committed
+    for run, part in (("odd", odd), ("even", ~odd), ("odd", odd), ("even", ~odd)):
+        CM.append_run(i.normalized.where(part), path, run)
+    return CM.read_committed(i.spark, path, NORMALIZED_CDR).drop(CM.RUN)
+
+
 @q("sink_foreach_batch")
 def _(i):
     return _run_stream(i, run_mediation, sink="foreach_batch")
@@ -418,7 +434,7 @@ def _(i):
 
 @q("udf_surface")
 def _(i):
-    R.register_sql_functions(i.spark)
+    SQ.register_predicates(i.spark)
     return SK.run_sql(
         i.spark,
         "SELECT record_hash, is_peak_hour(hour(timestamp)) AS is_peak, "
@@ -426,6 +442,26 @@ def _(i):
         "FROM {n}", n=i.normalized)
 
 
+@q("udf_pricing")
+def _(i):
+    """The four pricing functions over the matched records."""
+    SQ.register_pricing(i.spark)
+    return SK.run_sql(i.spark, """
+        SELECT record_hash, CAST(cost AS DOUBLE) AS base_cost, CAST(d.final_cost AS DOUBLE) AS final_cost, d.discounts
+        FROM (SELECT record_hash, cost, apply_discounts(cost, activation_date, is_student, :as_of) AS d FROM (
+            SELECT *, CASE record_type
+                WHEN 'voice' THEN voice_cost(duration_sec, unit_price, hour(timestamp), dayofweek(timestamp) - 1, peer_id)
+                WHEN 'data' THEN data_cost(data_volume_mb, unit_price) WHEN 'sms' THEN sms_cost(unit_price)
+                ELSE 0 END AS cost FROM {m}))""", args={"as_of": USAGE_AS_OF}, m=_matched(i))
+
+
+@q("sql_rating")
+def _(i):
+    """Rating through SQL alone: the table function over registered views."""
+    SQ.register_rating(i.spark, i.normalized, i.customers, i.rates, i.prior_rated)
+    return rated_out(SK.run_sql(i.spark, "SELECT * FROM rate(:as_of)", args={"as_of": USAGE_AS_OF}))
+
+
 # ------------------------------------------------------------- 2.4 joins --
 @q("join_unprocessed")
 def _(i):
@@ -434,6 +470,20 @@ def _(i):
     return RT.unprocessed(i.normalized, prior)
 
 
+@q("join_unprocessed_bucketed")
+def _(i):
+    """Records that arrived since yesterday against the bucketed rated history:
+    the stream stores the arrival, the history is read bucket by bucket."""
+    log, out, ckpt = _stream_raw_folder(i), scratch_path(i.spark, "versions"), scratch_path(i.spark, "ckpt")
+    _run_winners(i, log, out, ckpt)
+    store = RatedStore(i.spark, f"rated_history_{uuid.uuid4().hex[:12]}", scratch_path(i.spark, "rated-store"), buckets=16)
+    store.append(i.prior_rated, "first-half")
+    versions = SW.read_versions(i.spark, out)
+    since = dt.datetime.now(dt.timezone.utc).date() - dt.timedelta(days=1)
+    new = RT.unprocessed(versions, store.read(), arrived_since=since)
+    return SW.winners_of(new)
+
+
 @q("join_customers")
 def _(i):
     return RT.with_customer(i.normalized, i.customers).select("record_hash", "msisdn", "customer_id",
@@ -835,6 +885,40 @@ def _(i):
     return _run_stream(i, hashed, sink="anti_join")
 
 
+def _run_winners(i, log, out, ckpt, files_per_batch=1, **options):
+    stream = read_cdr_stream(i.spark, "text", log, maxFilesPerTrigger=str(files_per_batch))
+    SW.start_winners(stream, out, ckpt, available_now=True, **options).awaitTermination()
+
+
+@q("stream_winner")
+def _(i):
+    """Versions by batch, the winner decided on reading: as in one batch,
+    whatever order copies of a record come in."""
+    out = scratch_path(i.spark, "versions")
+    _run_winners(i, _stream_raw_folder(i), out, scratch_path(i.spark, "ckpt"))
+    return SW.read_winners(i.spark, out)
+
+
+@q("stream_dedup_bounded")
+def _(i):
+    """The same behind a state store that forgets; two runs of one checkpoint."""
+    out, ckpt = scratch_path(i.spark, "versions"), scratch_path(i.spark, "ckpt")
+    log, late = _stream_raw_folder(i), i.raw.where("offset % 3 = 0").select("value")
+    _run_winners(i, log, out, ckpt, delay="1 second", files_per_batch=2)
+    late.write.mode("append").text(log)                                # delivered again, after the state forgot them
+    _run_winners(i, log, out, ckpt, delay="1 second", files_per_batch=100)
+    return SW.read_winners(i.spark, out)
+
+
+@q("stream_accounting")
+def _(i):
+    """Decoded, rejected, duplicate and stored records of a stream, from the
+    accounts that its batches wrote."""
+    out = scratch_path(i.spark, "versions")
+    _run_winners(i, _stream_raw_folder(i), out, scratch_path(i.spark, "ckpt"), accounting=True, files_per_batch=2)
+    return SW.account_totals(i.spark, out)
+
+
 @q("stream_recovery")
 def _(i):
     """Two runs on one checkpoint: the restart resumes from the offset and

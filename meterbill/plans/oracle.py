@@ -637,6 +637,17 @@ FROM enriched e LEFT JOIN iu u ON u.customer_id = e.customer_id AND u.billing_pe
 
 
 BODIES["sink_export_json"] = BODIES["sink_export"]
+BODIES["sink_append_once"] = NORMALIZED
+BODIES["sql_rating"] = BODIES["job_rating"]
+BODIES["udf_pricing"] = ("SELECT record_hash, CAST(base_cost AS DOUBLE) AS base_cost, CAST(final_cost AS DOUBLE) AS final_cost, "
+                         "discount_applied AS discounts FROM rated WHERE rating_status = 'rated'")
+BODIES["join_unprocessed_bucketed"] = BODIES["join_unprocessed"]
+BODIES["stream_winner"] = NORMALIZED
+BODIES["stream_dedup_bounded"] = NORMALIZED
+BODIES["stream_accounting"] = """SELECT count(*) AS decoded, count(*) FILTER (WHERE status <> 'ok') AS rejected,
+  count(*) FILTER (WHERE status = 'ok') - count(DISTINCT CASE WHEN status = 'ok' THEN record_hash END) AS duplicates,
+  count(DISTINCT CASE WHEN status = 'ok' THEN record_hash END) AS records,
+  count(*) FILTER (WHERE event_ts IS NULL) AS untimed FROM validated"""
 
 
 def oracle_sql() -> dict[str, str]:
