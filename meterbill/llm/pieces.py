@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from .common import chunks, fresh, worker_local
-from .units import Entries, bytes_of, cut, filled, gather, per_text, space_led
+from .units import Entries, Learned, bytes_of, cut, filled, flat, gather, per_text, space_led
 
 SPACE = "▁"
 _PAIRS = 2_000_000        # compatible pairs that a worker remembers
@@ -164,8 +164,8 @@ class PieceModel:
         if not options[at] or options[at][0][1] != 1:
             options[at].insert(0, (-ord(text[at]) - 1, 1))
 
-    def _learn(self, units: list[bytes]) -> list[list[int]]:
-        return [self.encode_unit(u.decode("utf-8", "surrogatepass")) for u in units]
+    def _learn(self, units: list[bytes]) -> Learned:
+        return flat(units, [self.encode_unit(u.decode("utf-8", "surrogatepass")) for u in units])
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in order (no begin or end ids), and how many each has."""

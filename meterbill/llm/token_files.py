@@ -18,16 +18,17 @@ they are many. An empty table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, chunks, texts_of, worker_local
+from .common import _SPACE, Scratch, chunks, worker_local
+from .units import Entries, Learned, bytes_of, cut, filled, flat, per_text
 
 END_ID = 2
 ROW_GROUP_BYTES = 32 << 20
@@ -46,10 +47,8 @@ WRITE_OPTIONS = {
     "parquet.enable.dictionary#n_tokens": "false",
     "compression": "zstd",
 }
-_REMEMBERED = 500_000    # words a worker remembers before it starts anew
-_TOGETHER = 2_000        # new words that the library gets in one text
-_TAIL = ".,!?;:"         # marks that often end a word
-_INNER_SPACE = re.compile(r"(?<=\S) (?=\S)")
+_TOGETHER = 2_000        # new units that the library gets in one text
+_MARKS = ".,!?;:"        # that often end a word
 
 
 def load_tokenizer(path: str | None = None):
@@ -63,121 +62,101 @@ def load_tokenizer(path: str | None = None):
     return Tokenizer.from_file(path)
 
 
+#: Unicode white space outside ASCII, as UTF-8 (fixed values)
+_WHITE_2 = ("\u0085", "\u00a0")
+_WHITE_3 = ("\u1680", *map(chr, range(0x2000, 0x200B)), "\u2028", "\u2029", "\u202f", "\u205f", "\u3000")
+
+
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_MARK = np.isin(np.arange(256), [ord(c) for c in _MARKS])
+
+
+def _code(c: str) -> int:
+    return int.from_bytes(c.encode(), "big")
+
+
+def white(buf: np.ndarray) -> np.ndarray:
+    """Which bytes belong to white space."""
+    out = _SPACE[buf]
+    for chars, lead in ((_WHITE_2, (0xC2, 0xC2)), (_WHITE_3, (0xE1, 0xE3))):
+        n = len(chars[0].encode())
+        at = np.flatnonzero((buf >= lead[0]) & (buf <= lead[1]))
+        at = at[at + n <= len(buf)]
+        if len(at):
+            code = np.zeros(len(at), np.int64)
+            for k in range(n):
+                code = code << 8 | buf[at + k]
+            hit = at[np.isin(code, [_code(c) for c in chars])]
+            for k in range(n):
+                out[hit + k] = True
+    return out
+
+
 class Encoder:
     """Ids of whole texts, equal to the library's.
 
     Byte-level pre-tokenization never lets a token span the place before a
-    single space that has no white space around it, so a text is encoded as
-    its first word and its space-led words, and repeated words are looked up.
-    A new word of letters alone is one pre-token, which goes straight to the
-    library's BPE model, as do marks after it; other new words go to the whole
-    pipeline, many in one text, and are told apart by their first token, the
-    only one that starts with a space. Texts that hold an added token's string
-    are given to the library whole.
+    single space, or around a single newline, that has no white space beside
+    it, nor that between an ASCII letter and a mark: texts are cut there into
+XX that hold an added token's
+    string are not cut, unless such strings are ``ordinary`` text.
     """
 
-    def __init__(self, path: str | None, end_id: int):
+    def __init__(self, path: str | None, end_id: int | None, ordinary: bool = False):
         self.tok = load_tokenizer(path)
-        self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        vocabulary = self.tok.get_vocab()
-        self.space_led = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.space_led[[i for t, i in vocabulary.items() if t.startswith("\u0120")]] = True
+        self.tok.encode_special_tokens = ordinary
+        self.special = [] if ordinary else [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.end_id = end_id
-        # the byte-level alphabet: printable bytes stand for themselves, the
-        # others for the characters from 256 on
-        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        others = [b for b in range(256) if b not in printable]
-        self.alphabet = {b: chr(256 + i) for i, b in enumerate(others)}
-        self.clear()
-
-    def clear(self) -> None:
-        self.words: dict[str, int] = {}       # word after a space -> entry
-        self.heads: dict[str, int] = {}       # first word of a text -> entry
-        self.pool = [np.array([self.end_id], np.int32)]
-        self.lengths = [np.array([1])]        # entry 0: the end id
-        self.n = 1
-
-    def _add(self, ids: np.ndarray, lengths: np.ndarray) -> range:
-        self.pool.append(ids)
-        self.lengths.append(lengths)
-        self.n += len(lengths)
-        return range(self.n - len(lengths), self.n)
-
-    def _encode_each(self, texts: list[str]) -> range:
-        found = [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
-        return self._add(np.array([i for ids in found for i in ids], np.int32), np.array([len(ids) for ids in found], np.int64))
-
-    def _learn_plain(self, words: list[str]) -> list[str]:
-        """Take in the words of letters (and marks after them); returns the others."""
-        tokenize, alphabet = self.tok.model.tokenize, self.alphabet
-        marks: dict[str, list[int]] = {"": []}
-        done, ids, counts, rest = [], [], [], []
-        for w in words:
-            core = w.rstrip(_TAIL)
-            if not core.isalpha():
-                rest.append(w)
-                continue
-            tail = w[len(core):]
-            if tail not in marks:
-                marks[tail] = [t.id for t in tokenize(tail)]
-            if not core.isascii():
-                core = core.encode().decode("latin-1").translate(alphabet)
-            found = [t.id for t in tokenize("\u0120" + core)] + marks[tail]
-            done.append(w)
-            ids += found
-            counts.append(len(found))
-        self.words.update(zip(done, self._add(np.array(ids, np.int32), np.array(counts, np.int64))))
-        return rest
-
-    def _learn(self, words: list[str]) -> None:
-        for i in range(0, len(words), _TOGETHER):
-            some = words[i:i + _TOGETHER]
-            text = " " + " ".join(some)
-            ids = np.array(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
-            begin = np.flatnonzero(self.space_led[ids])
-            plain = len(begin) == len(some)   # else some word holds a space that leads a token
-            entries = self._add(ids, np.diff(np.append(begin, len(ids)))) if plain else self._encode_each([" " + w for w in some])
-            self.words.update(zip(some, entries))
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids in order, and the number of ids of each text (end id included)."""
-        if self.n > _REMEMBERED:
-            self.clear()
-        split: list = []
-        for text in texts:
-            if any(s in text for s in self.special):
-                split.append(None)
-            else:
-                split.append(_INNER_SPACE.split(text) if "  " in text else text.split(" "))
-        parted = [p for p in split if p]
-        heads = list({p[0] for p in parted} - self.heads.keys())
-        self.heads.update(zip(heads, self._encode_each(heads)))
-        known = self.words
-        new = self._learn_plain([w for w in set().union(*parted) if w not in known])
-        # white space at an end of a word would meet that of its neighbour
-        edged = [w for w in new if not w or w[0].isspace() or w[-1].isspace()]
-        self.words.update(zip(edged, self._encode_each([" " + w for w in edged])))
-        self._learn([w for w in new if w not in known])
-        entries: list[int] = []
-        counts = []
-        for text, parts in zip(texts, split):
-            if parts is None:
-                ids = np.array(self.tok.encode(text, add_special_tokens=False).ids, np.int32)
-                entries.extend(self._add(ids, np.array([len(ids)])))
-                counts.append(2)
-            else:
-                entries.append(self.heads[parts[0]])
-                entries.extend(map(known.__getitem__, parts[1:]))
-                counts.append(len(parts) + 1)
-            entries.append(0)
-        self.pool, self.lengths = [np.concatenate(self.pool)], [np.concatenate(self.lengths)]
-        pool, lengths = self.pool[0], self.lengths[0]
-        starts = np.cumsum(lengths) - lengths
-        flat = np.array(entries, np.int64)
-        sizes = lengths[flat]
+        vocabulary = self.tok.get_vocab()
+        added = {t.content for t in self.tok.get_added_tokens_decoder().values()}
+        self.id_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for name, i in vocabulary.items():     # a character of the byte-level alphabet is a byte
+            self.id_bytes[i] = len(name.encode()) if name in added else len(name)
+        self.entries = Entries(self._learn)
+
+    def _learn(self, units: list[bytes]) -> Learned:
+        blob = np.frombuffer(b"".join(units), np.uint8)
+        sizes = np.fromiter(map(len, units), np.int64, len(units))
         ends = np.cumsum(sizes)
-        ids = pool[np.repeat(starts[flat] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
-        return ids, np.diff(np.concatenate([[0], ends[np.cumsum(counts, dtype=np.int64) - 1]]))
+        begin, blank = ends - sizes, white(blob)
+        second = np.minimum(begin + 1, len(blob) - 1)
+        led = (sizes > 1) & (blob[begin] == 32) & ~blank[second] & ~blank[ends - 1]
+        # units led by their space stay apart when they are put in a row
+        row, rest = [units[n] for n in np.flatnonzero(led)], [units[n] for n in np.flatnonzero(~led)]
+        texts = [b"".join(row[n:n + _TOGETHER]).decode("utf-8", "surrogatepass") for n in range(0, len(row), _TOGETHER)]
+        together = [np.array(e.ids, np.int32) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+        ids = np.concatenate([np.zeros(0, np.int32), *together])
+        to = np.searchsorted(np.cumsum(self.id_bytes[ids]), np.cumsum(sizes[led]))
+        alone = self.tok.encode_batch_fast([u.decode("utf-8", "surrogatepass") for u in rest], add_special_tokens=False)
+        _, more, counts = flat(rest, [e.ids for e in alone])
+        return row + rest, np.concatenate([ids, more]), np.concatenate([np.diff(to + 1, prepend=0), counts])
+
+    def encode_array(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids in order (no end ids), and the number of ids of each text (no nulls)."""
+        buf, ends = bytes_of(texts)
+        blank = white(buf)
+        lone = np.flatnonzero((buf == 32) | (buf == 10))
+        lone = lone[(lone > 0) & (lone + 1 < len(buf))]
+        lone = lone[~(blank[lone - 1] | blank[lone + 1])]
+        marks = np.flatnonzero(_MARK[buf[1:]] & _LETTER[buf[:-1]]) + 1
+        cuts = np.sort(np.concatenate([lone, lone[buf[lone] == 10] + 1, marks]))
+        for s in self.special:
+            for t in np.flatnonzero(pc.match_substring(texts, s).to_numpy(zero_copy_only=False)):
+                cuts = cuts[(cuts <= ends[t]) | (cuts >= ends[t + 1])]
+        begin, units = cut(buf, ends, cuts)
+        ids, size = self.entries.ids(buf, begin)
+        return ids, per_text(size, units)
+
+    def encode(self, texts: list[str] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids in order, and the number of ids of each text (end id included)."""
+        ids, counts = self.encode_array(filled(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())))
+        ends = np.cumsum(counts + 1)
+        out = np.empty(len(ids) + len(counts), np.int32)
+        inner = np.ones(len(out), bool)
+        inner[ends - 1] = False
+        out[inner], out[ends - 1] = ids, self.end_id
+        return out, counts + 1
 
 
 def _encode_batches(path: str | None, end_id: int) -> Callable:
@@ -188,7 +167,7 @@ def _encode_batches(path: str | None, end_id: int) -> Callable:
         place = 0                                       # ids of this file so far
         for batch in batches:
             for part in chunks(batch, most_bytes=4 << 20):
-                ids, lengths = encoder.encode(texts_of(part))
+                ids, lengths = encoder.encode(part.column("text"))
                 offsets = np.concatenate([[0], np.cumsum(lengths)])
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("part"), pa.array(place + offsets[:-1]), pa.array(lengths),

@@ -62,10 +62,14 @@ def gather(pool: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
     return pool[np.repeat(begin - (ends - size), size) + np.arange(total)]
 
 
+Learned = tuple[list[bytes], np.ndarray, np.ndarray]
+
+
 class Entries:
-    """Ids of the units met so far; ``learn(units)`` finds those of new ones."""
+    """Ids of the units met so far. ``learn(units)`` finds those of new ones: the
+    units in an order of its own, all their ids, and how many each has."""
 
-    def __init__(self, learn: Callable[[list[bytes]], list[list[int]]], most: int = _REMEMBERED):
+    def __init__(self, learn: Callable[[list[bytes]], Learned], most: int = _REMEMBERED):
         self.learn, self.most = learn, most
         self.clear()
 
@@ -83,16 +87,20 @@ class Entries:
         number = self.number
         new = [u for u in units if u not in number]
         if new:
-            found = self.learn(new)
+            new, found, sizes = self.learn(new)
             number.update(zip(new, range(len(number), len(number) + len(new))))
-            self.pool = np.concatenate([self.pool, np.array([i for ids in found for i in ids], np.int32)])
-            self.size = np.concatenate([self.size, np.fromiter(map(len, found), np.int64, len(found))])
+            self.pool = np.concatenate([self.pool, found.astype(np.int32, copy=False)])
+            self.size = np.concatenate([self.size, sizes])
             self.start = np.cumsum(self.size) - self.size
         entry = np.fromiter(map(number.__getitem__, units), np.int64, len(units))[code]
         size = self.size[entry]
         return gather(self.pool, self.start[entry], size), size
 
 
+def flat(units: list[bytes], found: list[list[int]]) -> Learned:
+    return (units, np.array([i for ids in found for i in ids], np.int32), np.fromiter(map(len, found), np.int64, len(found)))
+
+
 def per_text(size: np.ndarray, units: np.ndarray) -> np.ndarray:
     """Ids of each text, from the ids of each unit and the units of each text."""
     total = np.concatenate([[0], np.cumsum(size)])
