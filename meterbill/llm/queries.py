@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import decontamination
+from .alignment import op12_alignment
 from .curves import op9_nearest
 from .decontamination import op3_decontamination
 from .language_id import op4_language_id
@@ -40,6 +41,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_nearest": op9_nearest,
         "op10_ngram_join": op10_ngram_join,
         "op11_resampling": op11_resampling,
+        "op12_alignment": op12_alignment,
         "op13_pieces": op13_pieces,
         "pipeline": _pipeline,
     }
