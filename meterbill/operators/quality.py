@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meterbill.operators.mediation import normalize_parties, reject_reason, validate, with_record_hash
 from meterbill.schemas import CUSTOMER_STATUSES, PRIMARY_KEYS, SERVICES, SUBSCRIPTION_TYPES
@@ -137,3 +138,68 @@ def constraint_report(tables: dict[str, DataFrame]) -> DataFrame:
         parts.append(_count_where("product_catalog", "check_service_type", tables["product_catalog"],
                                   ~F.col("service_type").isin(*SERVICES)))
     return reduce(DataFrame.unionByName, parts)
+
+
+# -- the same rules with the rows that break them, one scan a table ------------
+
+def _row_checks(name: str) -> dict[str, F.Column]:
+    """Checks that a row fails by itself. A null primary key is one."""
+    checks = {}
+    if name in PRIMARY_KEYS:
+        checks["primary_key"] = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in PRIMARY_KEYS[name]])
+    if name == "customers":
+        checks["check_subscription_type"] = ~F.col("subscription_type").isin(*SUBSCRIPTION_TYPES)
+        checks["check_status"] = ~F.col("status").isin(*CUSTOMER_STATUSES)
+    if name == "product_catalog":
+        checks["check_service_type"] = ~F.col("service_type").isin(*SERVICES)
+    return checks
+
+
+def _rejected(name: str, check: str, rows: DataFrame, copies: F.Column) -> DataFrame:
+    fields = [c for c in rows.columns if not c.startswith("_")]
+    return rows.select(F.lit(name).alias("table_name"), F.lit(check).alias("check_name"),
+                       F.to_json(F.struct(*fields)).alias("record"), copies.cast("bigint").alias("copies"))
+
+
+def quarantine(tables: dict[str, DataFrame], stage_path: str) -> DataFrame:
+    """The records that break a rule: ``table_name, check_name, record, copies``.
+
+    Each table is scanned once: its rows are written below ``stage_path`` with
+    equal ones counted (map-side combined), and every check reads that. Of rows
+    that share a primary key the first in column order stays, the others and its
+    extra copies are rejected, so the copies of a check add up to its count in
+    ``constraint_report``. A key with very many rows is joined, not grouped into
+    one task.
+    """
+    parts, staged = [], {}
+    for name, df in tables.items():
+        path = f"{stage_path}/{name}"
+        df.groupBy(*df.columns).agg(F.count("*").alias("_copies")).write.mode("overwrite").parquet(path)
+        staged[name] = rows = df.sparkSession.read.schema(
+            T.StructType([*df.schema.fields, T.StructField("_copies", T.LongType())])).parquet(path)
+        checks = _row_checks(name)
+        if checks:
+            failed = F.filter(F.array(*[F.when(bad, F.lit(check)) for check, bad in checks.items()]), lambda c: c.isNotNull())
+            fields = [c for c in df.columns]
+            parts.append(rows.select(F.explode(failed).alias("check_name"), F.to_json(F.struct(*fields)).alias("record"), "_copies")
+                         .select(F.lit(name).alias("table_name"), "check_name", "record", F.col("_copies").alias("copies")))
+        if name in PRIMARY_KEYS:
+            keys = PRIMARY_KEYS[name]
+            row = F.struct(*df.columns)
+            shared = rows.groupBy(*keys).agg(F.sum("_copies").alias("_n"), F.min(row).alias("_kept")).where("_n > 1")
+            extra = F.col("_copies") - row.eqNullSafe(F.col("_kept")).cast("bigint")
+            parts.append(_rejected(name, "primary_key", rows.join(shared, keys).where(extra > 0), extra))     # null keys are above
+    if "product_rates" in staged and "rate_plans" in staged:
+        orphans = staged["product_rates"].join(staged["rate_plans"].select("rate_plan_id"), "rate_plan_id", "left_anti")
+        parts.append(_rejected("product_rates", "foreign_key_rate_plan", orphans.select(*staged["product_rates"].columns), F.col("_copies")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def quarantine_report(rejected: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
+    """``constraint_report`` from the rejected records; checks without any count 0."""
+    names = [(n, c) for n in tables for c in _row_checks(n)]
+    if "product_rates" in tables and "rate_plans" in tables:
+        names.append(("product_rates", "foreign_key_rate_plan"))
+    zeros = rejected.sparkSession.createDataFrame([(n, c, None, 0) for n, c in names],
+                                                  "table_name string, check_name string, record string, copies bigint")
+    return rejected.unionByName(zeros).groupBy("table_name", "check_name").agg(F.sum("copies").alias("violations"))

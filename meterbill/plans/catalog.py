@@ -22,8 +22,10 @@ from meterbill.functions.regions import region_of
 from meterbill.operators import analytics as A
 from meterbill.operators import billing as B
 from meterbill.operators import mediation as M
+from meterbill.operators import pages as PG
 from meterbill.operators import quality as Q
 from meterbill.operators import rating as RT
+from meterbill.operators import rollups as RU
 from meterbill.operators import segments as S
 from meterbill.operators import windows as W
 from meterbill.plans.jobs import run_billing, run_mediation, run_pipeline
@@ -34,6 +36,7 @@ from meterbill.sources import fixtures as FX
 from meterbill.sources import sinks as SK
 from meterbill.sources.cdr import decode_cdr, read_cdr_stream
 from meterbill.sources.rated_store import RatedStore
+from meterbill.sources.result_cache import ResultCache
 from meterbill.sources.tables import empty_frame, read_or_empty, read_table, shared_cache, table_path
 from meterbill.streaming import mediation as SM
 from meterbill.streaming import winners as SW
@@ -143,6 +146,13 @@ class Inputs:
         return S.rfm_segments(S.rfm_scores(self.population))
 
 
+_RESULTS: dict[str, ResultCache] = {}
+
+
+def _result_cache(spark: SparkSession) -> ResultCache:
+    return _RESULTS.setdefault(spark.sparkContext.applicationId, ResultCache())
+
+
 REGISTRY: dict[str, Callable[[Inputs], DataFrame]] = {}
 
 
@@ -302,6 +312,18 @@ def _(i):
                         ttl_s=300).get()
 
 
+@q("cache_result")
+def _(i):
+    """A query kept by its meaning: the same plan, built anew, is a hit."""
+    def active():
+        return RT.active_customers(FX.customers(i.spark, i.root))
+    cache = _result_cache(i.spark)
+    first = cache.get(active())
+    again = cache.get(active())
+    assert again is first or cache.hits > 0
+    return again
+
+
 # --------------------------------------------------------- 2.2 mediation --
 @q("med_msisdn")
 def _(i):
@@ -366,6 +388,15 @@ def _(i):
         "rated_cdr": i.rated, "invoices": i.invoices_hist})
 
 
+@q("dq_quarantine")
+def _(i):
+    """The same counts from the list of records that break a rule."""
+    tables = {"normalized_cdr": i.normalized, "customers": i.customers, "rate_plans": FX.rate_plans(i.spark),
+              "product_catalog": FX.product_catalog(i.spark), "product_rates": i.rates,
+              "rated_cdr": i.rated, "invoices": i.invoices_hist}
+    return Q.quarantine_report(Q.quarantine(tables, scratch_path(i.spark, "checked")), tables)
+
+
 # ------------------------------------------------------------ 2.3 rating --
 def _matched(i):
     return RT.split_matched(i.joined)[0]
@@ -643,6 +674,49 @@ def _(i):
     return A.processing_by_day(i.mediated_all, USAGE_AS_OF)
 
 
+@q("agg_processing_by_day_stream")
+def _(i):
+    """Counts by day kept up to date from a stream that stops and goes on."""
+    log, out = scratch_path(i.spark, "cdr-log"), scratch_path(i.spark, "versions")
+    ckpt, counts = scratch_path(i.spark, "ckpt"), scratch_path(i.spark, "daily")
+    for n in range(2):
+        i.raw.where(F.col("offset") % 2 == n).select("value").write.mode("append").text(log)
+        _run_winners(i, log, out, ckpt, files_per_batch=1000, statuses=("ok", "error"))
+        SW.refresh_daily_counts(i.spark, out, counts)
+    start = USAGE_AS_OF - dt.timedelta(days=7)
+    return SW.daily_counts(i.spark, counts).where(F.col("date") >= F.lit(start)).orderBy("date", "status")
+
+
+def _invoice_sums(i):
+    """The stored sums: all months but the last two, then those two, as they are added."""
+    path = scratch_path(i.spark, "invoices")
+    i.invoices_hist.write.partitionBy("billing_period").parquet(path)
+    invoices = i.spark.read.schema(i.invoices_hist.schema).parquet(path)
+    sums = RU.invoice_rollup(i.spark, scratch_path(i.spark, "invoice-sums"))
+    added = [HISTORY_PERIOD, dt.date(2001, 6, 1)]
+    sums.build_all(invoices.where(~F.col("billing_period").isin(added)))
+    for month in added:
+        sums.refresh(invoices, [month])
+    return sums.read()
+
+
+@q("agg_revenue_monthly_stored")
+def _(i):
+    return RU.revenue_monthly(_invoice_sums(i), HISTORY_AS_OF)
+
+
+@q("agg_region_revenue_stored")
+def _(i):
+    return RU.region_revenue(_invoice_sums(i), i.customers, HISTORY_AS_OF)
+
+
+@q("agg_region_performance_stored")
+def _(i):
+    usage = RU.usage_rollup(i.spark, scratch_path(i.spark, "usage-sums"))
+    usage.build_all(i.rated_hist)
+    return RU.region_performance(_invoice_sums(i), usage.read(), i.customers, HISTORY_AS_OF)
+
+
 @q("agg_top_customers")
 def _(i):
     return A.top_customers(i.customers, i.invoices_hist, HISTORY_AS_OF, n=10)
@@ -791,6 +865,13 @@ def _(i):
     return B.invoice_detail(i.enriched, i.rated_hist)
 
 
+@q("win_page_seek")
+def _(i):
+    """Page 2 of the invoice list by its place in the stored ranges."""
+    order = [F.desc("billing_period"), F.asc("customer_id"), F.asc("invoice_id")]
+    return PG.Pages.build(i.enriched, order, scratch_path(i.spark, "pages"), range_rows=500).page(2)
+
+
 @q("win_others")
 def _(i):
     return W.top_with_rest(i.region_stats, 6)

@@ -638,6 +638,10 @@ FROM enriched e LEFT JOIN iu u ON u.customer_id = e.customer_id AND u.billing_pe
 
 BODIES["sink_export_json"] = BODIES["sink_export"]
 BODIES["sink_append_once"] = NORMALIZED
+for _name, _same in (("dq_quarantine", "dq_checks"), ("cache_result", "cache_table"), ("win_page_seek", "win_page"),
+                     ("agg_processing_by_day_stream", "agg_processing_by_day"), ("agg_revenue_monthly_stored", "agg_revenue_monthly"),
+                     ("agg_region_revenue_stored", "agg_region_revenue"), ("agg_region_performance_stored", "agg_region_performance")):
+    BODIES[_name] = BODIES[_same]
 BODIES["sql_rating"] = BODIES["job_rating"]
 BODIES["udf_pricing"] = ("SELECT record_hash, CAST(base_cost AS DOUBLE) AS base_cost, CAST(final_cost AS DOUBLE) AS final_cost, "
                          "discount_applied AS discounts FROM rated WHERE rating_status = 'rated'")

@@ -71,8 +71,9 @@ def _write_account(spark: SparkSession, rows: DataFrame, stored: int, out: str,
     account.write.mode("overwrite").json(f"{out}/{ACCOUNTS}/stream={stream}/batch_id={batch_id}")
 
 
-def winner_batch_writer(out: str, checkpoint: str, accounting: bool = False, delay: str = "1 hour"):
-    """foreachBatch function over ``checked`` rows. With ``accounting`` a row
+def winner_batch_writer(out: str, checkpoint: str, accounting: bool = False, delay: str = "1 hour",
+                        statuses: tuple[str, ...] = (STATUS_OK,)):
+    """foreachBatch function over ``checked`` rows of these ``statuses``. With ``accounting`` a row
     whose event time lies more than ``delay`` before the last one of earlier
     batches counts as late; it is stored like any other."""
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -80,7 +81,7 @@ def winner_batch_writer(out: str, checkpoint: str, accounting: bool = False, del
         spark, stream = batch.sparkSession, stream_id(batch.sparkSession, checkpoint)
         folder = f"{out}/stream={stream}/batch_id={batch_id}"
         rows = batch.persist(StorageLevel.DISK_ONLY) if accounting else batch       # read twice
-        won = batch_winners(rows).withColumns({"arrival_date": F.current_date(), "event_date": _event_date()})
+        won = batch_winners(rows, statuses).withColumns({"arrival_date": F.current_date(), "event_date": _event_date()})
         # a date's rows meet in few tasks: not a file for each task and date
         won.hint("rebalance", "event_date").write.mode("overwrite").partitionBy("arrival_date", "event_date").parquet(folder)
         if accounting:
@@ -90,14 +91,18 @@ def winner_batch_writer(out: str, checkpoint: str, accounting: bool = False, del
 
 
 def start_winners(raw: DataFrame, out: str, checkpoint: str, delay: str | None = None, accounting: bool = False,
+                  statuses: tuple[str, ...] = (STATUS_OK,),
                   trigger: str | None = DEFAULT_TRIGGER, available_now: bool = False) -> StreamingQuery:
     """Mediate the message stream ``raw`` into versions at ``out``. With ``delay``
     copies that arrive within it are dropped first (they are not decoded rows to
-    the accounts then)."""
+    the accounts then). The accounts take ``stored`` as ok rows: they need the
+    default ``statuses``."""
+    if accounting and statuses != (STATUS_OK,):
+        raise ValueError("accounts are kept of streams that store ok rows alone")
     rows = checked(raw)
     if delay is not None:
         rows = dedup_stream(rows, delay)
-    w = rows.writeStream.foreachBatch(winner_batch_writer(out, checkpoint, accounting)).option("checkpointLocation", checkpoint)
+    w = rows.writeStream.foreachBatch(winner_batch_writer(out, checkpoint, accounting, statuses=statuses)).option("checkpointLocation", checkpoint)
     return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)).start()
 
 
@@ -137,3 +142,48 @@ def account_totals(spark: SparkSession, out: str) -> DataFrame:
     total = sums.unionByName(records).agg(*[F.coalesce(F.sum(c), zero).alias(c) for c in (*parts, "records")])
     return total.select("decoded", "rejected", (F.col("repeated") + F.col("stored") - F.col("records")).alias("duplicates"),
                         "records", "untimed")
+
+
+# -- counts by day and status, kept up to date from the versions --------------
+
+_SEEN = T.StructType([T.StructField("stream", T.StringType()), T.StructField("batch_id", T.LongType())])
+DAILY = T.StructType([T.StructField("status", T.StringType()), T.StructField("count", T.LongType()), T.StructField("event_date", T.DateType())])
+
+
+def refresh_daily_counts(spark: SparkSession, out: str, counts: str) -> int:
+    """Bring the counts at ``counts`` up to date with the versions at ``out``;
+    returns how many days were counted anew.
+
+    Only days that batches since the last refresh wrote to are read (the batches
+    and their days are folder names), and their counts replaced; the batches are
+    noted last. Run twice, or again after a failure, it gives the same table. It
+    runs as often as the figures should be fresh, not with each batch.
+    """
+    if not path_exists(spark, out):
+        return 0
+    schema = T.StructType([*STORED.fields, T.StructField("stream", T.StringType()), T.StructField("batch_id", T.LongType())])
+    stored = spark.read.schema(schema).option("basePath", out).parquet(f"{out}/stream=*")
+    noted = f"{counts}/_batches"
+    seen = spark.read.schema(_SEEN).parquet(noted) if path_exists(spark, noted) else empty_frame(spark, _SEEN)
+    last = {r["stream"]: r["n"] for r in seen.groupBy("stream").agg(F.max("batch_id").alias("n")).collect()}    # a row a checkpoint
+    new = F.lit(True)
+    for stream, n in last.items():
+        new = new & ~((F.col("stream") == stream) & (F.col("batch_id") <= n))
+    touched = stored.where(new).select("stream", "batch_id", "event_date").distinct().collect()                 # folder names
+    dates = sorted({r["event_date"] for r in touched if r["event_date"] is not None})
+    if dates:
+        daily = winners_of(stored.where(F.col("event_date").isin(dates))).groupBy("status", F.to_date("timestamp").alias("event_date")).agg(
+            F.count("*").alias("count"))
+        (daily.select(*DAILY.names).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+              .partitionBy("event_date").parquet(counts))
+    if touched:
+        rows = sorted({(r["stream"], r["batch_id"]) for r in touched})
+        spark.createDataFrame(rows, _SEEN).coalesce(1).write.mode("append").parquet(noted)
+    return len(dates)
+
+
+def daily_counts(spark: SparkSession, counts: str) -> DataFrame:
+    """``date, status, count`` of all days that have a time."""
+    if not path_exists(spark, counts):
+        return empty_frame(spark, DAILY).select(F.col("event_date").alias("date"), "status", "count")
+    return spark.read.schema(DAILY).parquet(counts).select(F.col("event_date").alias("date"), "status", "count")
