@@ -2,15 +2,22 @@
 
 Noisy channel: what a writer typed is a clean word sent through a channel that
 swaps letters for look-alikes (``l0ser``), stretches them (``stuuupid``), puts
-marks or spaces between them (``i.d.i.o.t``, ``i d i o t``) or blanks them
-(``m*ron``). The ways back form a lattice of characters; a Viterbi search
+marks or spaces between them (``i.d.i.o.t``, ``i d i o t``, ``i-diot``) or blanks
+them (``m*ron``, ``i***t``). The ways back form a lattice of characters; a Viterbi search
 under a 4-gram character model and the channel's costs restores the word.
 
 The character model is counted over the words of all documents (27 symbols, so
 at most 27^4 numbers). The score learns from labels: for restored words and
 their beginnings, the share of toxic and of other documents that hold them gives
-a log-odds weight; the strongest words of a document are its evidence, and a
-logistic curve over evidence, fitted on a fold of its own, is the score.
+a log-odds weight; every feature whose weight is surely positive (one standard
+error below it is still above ``LEAST_WEIGHT``) is in the lexicon. The strongest
+words of a document are its evidence, and a logistic curve over evidence, fitted
+on a fold of its own, is the score. A lexicon of a checked size travels to the
+tasks; a larger one is joined to the documents' words by shuffle.
+
+Left as typed: prices, numbers, runs of one mark, three or more equal marks
+behind a word (also two that look like no letter), and stars behind three or
+more letters or more than ``_STARS`` of them.
 
 Accents are folded. Words of other scripts are features as they are. Only
 words with something to restore are decoded; words are looked up once a task.
@@ -36,7 +43,8 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, chunks, held_out, text_key, texts_of
 
-MAX_FEATURES = 50_000     # size of the learned lexicon
+MAX_LEXICON_BYTES = 16 << 20   # of a lexicon that is sent to the tasks
+LEAST_WEIGHT = 0.5
 MAX_BROADCAST_LABELS = 500_000
 MIN_DOCUMENTS = 5
 PRIOR = 3.0               # documents of each kind that a feature is credited with
@@ -51,9 +59,15 @@ LOOKS_LIKE = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "i", "+": "t", "|": "il", "(": "c", "€": "e", "£": "l", "¡": "i", "¢": "c",
 }
+_LETTERS = "abcdefghijklmnopqrstuvwxyz"
 _BETWEEN = ".-_·~'`^,/\\"
 _SWAP, _DROP, _JOIN, _BLANK, _STRETCH, _SINGLE = 1.2, 4.0, 0.4, 3.0, 0.3, 3.5
-_EDGE = re.compile(r"^[^\w@$!|+(€£¡¢*]+|(?:[!?.,;:\"')\]}]+|([*#%&$@!+=~^])\1+[!?.,;:]*)+$")
+_DROP_SIGN = 8.0          # a look-alike that is no digit
+_STARS = 4                # places that a run of stars may blank
+_EDGE = re.compile(r"^[^\w@$!|+(€£¡¢*]+|(?:[!?.,;:\"')\]}]+|([#%&!+=~^])\1+[!?.,;:]*|([$@])\2\2+[!?.,;:]*)+$")
+_END_STARS = re.compile(r"(\*+)[!?.,;:]*$")
+_NUMBER = re.compile(r"[$€£¢+\-]?\d[\d.,:/\-]*[%$€£¢+]?")
+_HYPHENED = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)+")
 _PLAIN = re.compile(r"[^\W\d_]+")
 _STRETCHED = re.compile(r"([^\W\d_])\1\1")
 _APART = re.compile(r"(?:[^\W_][.\-_·~'`^,/\\*]+)+[^\W_]")
@@ -84,12 +98,16 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
             else:
                 ways = [(c, _STRETCH), (c + c, _STRETCH)]
         elif c in LOOKS_LIKE:
-            ways = [(x, _SWAP) for x in LOOKS_LIKE[c]]
-            ways += [(x + x, 2 * _SWAP) for x in LOOKS_LIKE[c]] if n > 1 else []
-            ways.append(("", _DROP))
+            # two of them look like a double letter, more like a stretched one
+            once, twice = ((_SWAP, None), (_SWAP + _SINGLE, _SWAP), (_SWAP + _STRETCH, _SWAP + _STRETCH))[min(n, 3) - 1]
+            ways = [(x, once) for x in LOOKS_LIKE[c]]
+            ways += [(x + x, twice) for x in LOOKS_LIKE[c]] if n > 1 else []
+            ways.append(("", _DROP if c.isdigit() else _DROP_SIGN))
         elif c == "*":
-            ways = [(x, _BLANK) for x in "abcdefghijklmnopqrstuvwxyz"] + [("", _DROP)]
-        elif c == " ":
+            # each star is a letter or nothing; a long row of them is a rule
+            ways = [(x, _BLANK) for x in _LETTERS] + [("", _DROP)] if n <= _STARS else [("", _JOIN)]
+            places += [ways] * (n - 1 if n <= _STARS else 0)
+        elif c in " -":
             ways = [("", _JOIN), ("#", _JOIN)]
         else:
             ways = [("", _JOIN)]
@@ -98,12 +116,15 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
     return places
 
 
+def _code(c: str) -> int:
+    return 0 if c == "#" else ord(c) - 96
+
+
 def restore(token: str, cost: np.ndarray) -> str:
     """The likeliest clean text of a folded token ('#' between words).
     ``cost``: -log P(symbol | three before), 27 x 27 x 27 x 27."""
-    def code(c: str) -> int:
-        return 0 if c == "#" else ord(c) - 96
-
+    if "**" in token:
+        return _restore_dense(token, cost)
     best: dict[tuple[int, int, int], tuple[float, str]] = {(0, 0, 0): (0.0, "")}
     for ways in [*lattice(token), [("#", 0.0)]]:
         following: dict[tuple[int, int, int], tuple[float, str]] = {}
@@ -111,7 +132,7 @@ def restore(token: str, cost: np.ndarray) -> str:
             for letters, price in ways:
                 x, y, z, total = a, b, c, so_far + price
                 for letter in letters:
-                    k = code(letter)
+                    k = _code(letter)
                     total += cost[x, y, z, k]
                     x, y, z = (0, 0, 0) if k == 0 else (y, z, k)
                 state = (x, y, z)
@@ -121,12 +142,59 @@ def restore(token: str, cost: np.ndarray) -> str:
     return min(best.values())[1].strip("#")
 
 
+def _restore_dense(token: str, cost: np.ndarray) -> str:
+    """The same search over arrays of all states: blanked places reach most of them."""
+    size = _SYMBOLS ** 3
+    best = np.full((_SYMBOLS,) * 3, np.inf)
+    best[0, 0, 0] = 0.0
+    steps: list[tuple[np.ndarray, np.ndarray, list]] = []
+    index = np.arange(size).reshape(best.shape)
+    for ways in [*lattice(token), [("#", 0.0)]]:
+        new, source, way = np.full(best.shape, np.inf), np.zeros(best.shape, np.int64), np.zeros(best.shape, np.int64)
+        for w, (letters, price) in enumerate(ways):
+            now, start = best, index
+            for letter in letters:
+                k = _code(letter)
+                total = now + cost[:, :, :, k]
+                at, began = np.full(best.shape, np.inf), np.zeros(best.shape, np.int64)
+                if k == 0:
+                    least = int(np.argmin(total))
+                    at[0, 0, 0], began[0, 0, 0] = total.flat[least], start.flat[least]
+                else:
+                    first = np.argmin(total, axis=0)
+                    at[:, :, k] = np.take_along_axis(total, first[None], 0)[0]
+                    began[:, :, k] = np.take_along_axis(start, first[None], 0)[0]
+                now, start = at, began
+            better = now + price < new
+            new = np.where(better, now + price, new)
+            source, way = np.where(better, start, source), np.where(better, w, way)
+        steps.append((source, way, ways))
+        best = new
+    at, parts = int(np.argmin(best)), []
+    for source, way, ways in reversed(steps):
+        parts.append(ways[int(way.flat[at])][0])
+        at = int(source.flat[at])
+    return "".join(reversed(parts)).strip("#")
+
+
 def needs_restoring(token: str) -> bool:
-    """A folded token without edge marks, with letters and something else."""
+    """A folded token without edge marks that may hide letters."""
     if token.isalpha():
         return bool(_STRETCHED.search(token))
-    return any("a" <= c <= "z" for c in token) and (
-        any(c in LOOKS_LIKE or c == "*" for c in token) or bool(_APART.fullmatch(token)))
+    if any("a" <= c <= "z" for c in token):
+        return any(c in LOOKS_LIKE or c == "*" for c in token) or bool(_APART.fullmatch(token) or _HYPHENED.fullmatch(token))
+    # marks and digits alone: two or more that look like letters, one of them no digit
+    looks = [c for c in token if c in LOOKS_LIKE]
+    return len(looks) > 2 and len(set(looks)) > 1 and len(looks) == len(token) and not (token.isdigit() or _NUMBER.fullmatch(token))
+
+
+def core_of(token: str) -> str:
+    """The token without the marks at its edges."""
+    core = _EDGE.sub("", token)
+    stars = _END_STARS.search(core)
+    if stars and (sum(c.isalpha() for c in core) > 2 or not 1 < len(stars[1]) <= _STARS or not any(c.isalpha() for c in core)):
+        return _EDGE.sub("", core[:stars.start()])
+    return core.rstrip(".,;:!?") if stars else core
 
 
 def clean_words(token: str, cost: np.ndarray) -> list[str]:
@@ -134,7 +202,7 @@ def clean_words(token: str, cost: np.ndarray) -> list[str]:
     token = folded(token)
     if token.isalpha() and not _STRETCHED.search(token):
         return [token]
-    core = _EDGE.sub("", token)
+    core = core_of(token)
     if not core:
         return []
     if " " in core or needs_restoring(core):
@@ -256,38 +324,66 @@ def _count_features(shared) -> Callable:
 
 
 def _evidence(shared) -> Callable:
+    run_words = _document_words(shared.value[0])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cost, lexicon = shared.value
+        lexicon = shared.value[1]
+        hot: dict[str, float] = {}
         seen: set[str] = set()
-        hot: dict[str, list[tuple[str, float]]] = {}
-
-        def weigh(tokens: set[str]) -> None:
-            for t in tokens:
-                found = []
-                for w in clean_words(t, cost):
-                    weight = max(lexicon.get(f, 0.0) for f in features_of(w))
-                    if weight:
-                        found.append((w, weight))
-                if found:
-                    hot[t] = found
+
+        def weigh(words: set[str]) -> None:
+            for w in words:
+                weight = max(lexicon.get(f, 0.0) for f in features_of(w))
+                if weight:
+                    hot[w] = weight
 
         for batch in batches:
             out = []
-            for text in texts_of(batch):
-                tokens = text.split()
-                distinct = {*tokens, *spaced_runs(tokens)}
+            for words in run_words(texts_of(batch)):
                 if len(seen) > _REMEMBERED:
                     seen, hot = set(), {}
-                new = distinct - seen
+                new = words - seen
                 weigh(new)
                 seen |= new
-                words = dict(x for t in distinct if t in hot for x in hot[t])
-                out.append(float(sum(sorted(words.values(), reverse=True)[:TOP])))
+                out.append(float(sum(sorted((hot[w] for w in words if w in hot), reverse=True)[:TOP])))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), pa.array(out, pa.float64())],
                                              ["doc_id", "key", "evidence"])
     return run
 
 
+def _document_words(cost: np.ndarray) -> Callable[[list[str]], Iterator[set[str]]]:
+    def words_of(texts: list[str]) -> Iterator[set[str]]:
+        from .common import worker_local
+        words = worker_local(f"words {hash(cost.tobytes())}", lambda: Words(cost))
+        return map(words.of, texts)
+    return words_of
+
+
+def _word_features(shared) -> Callable:
+    """Features of each document's words, for a lexicon that is joined."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        run_words = _document_words(shared.value)
+        for batch in batches:
+            rows = batch.column("row").to_pylist()
+            for row, words in zip(rows, run_words(texts_of(batch))):
+                pairs = [(w, f) for w in words for f in features_of(w)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([row] * len(pairs), pa.int64()), pa.array([w for w, _ in pairs], pa.string()),
+                     pa.array([f for _, f in pairs], pa.string())], ["row", "word", "feature"])
+    return run
+
+
+def _evidence_by_join(spark: SparkSession, keyed: DataFrame, lexicon: DataFrame, cost: np.ndarray, scratch: Scratch) -> DataFrame:
+    """The same evidence with the lexicon joined to the documents' words by
+    shuffle: hot features are joined skew-aware, only words in the lexicon go on."""
+    rows = scratch.write(keyed.withColumn("row", F.monotonically_increasing_id()), "rows")
+    found = (rows.select("row", "text").mapInArrow(_word_features(spark.sparkContext.broadcast(cost)), "row long, word string, feature string")
+             .join(lexicon, "feature").groupBy("row", "word").agg(F.max("weight").alias("weight")))
+    top = found.groupBy("row").agg(F.slice(F.sort_array(F.collect_list("weight"), asc=False), 1, TOP).alias("top"))
+    summed = F.aggregate("top", F.lit(0.0), lambda a, b: a + b)
+    return rows.join(top, "row", "left").select("doc_id", "key", F.coalesce(summed, F.lit(0.0)).alias("evidence"))
+
+
 def fit_curve(evidence: np.ndarray, toxic: np.ndarray, other: np.ndarray, share: float) -> tuple[float, float]:
     """Logistic slope and intercept by Newton steps on weighted points."""
     x = np.stack([evidence, np.ones_like(evidence)], axis=1)
@@ -302,7 +398,8 @@ def fit_curve(evidence: np.ndarray, toxic: np.ndarray, other: np.ndarray, share:
     return float(max(w[0], 0.0)), float(w[1])
 
 
-def classify(spark: SparkSession, docs: DataFrame, labels: DataFrame, label: str = "toxic") -> DataFrame:
+def classify(spark: SparkSession, docs: DataFrame, labels: DataFrame, label: str = "toxic",
+             max_lexicon_bytes: int = MAX_LEXICON_BYTES) -> DataFrame:
     """``doc_id, key, evidence, score`` of each row of ``docs``."""
     cost = character_model(docs)
     known = labels.where(F.col(label).isin(0, 1) & ~held_out(F.col("doc_id"))).select(
@@ -318,20 +415,28 @@ def classify(spark: SparkSession, docs: DataFrame, labels: DataFrame, label: str
     n_toxic, n_other = totals.get(1, 0), totals.get(0, 0)
     share = (n_toxic + 0.5) / (n_toxic + n_other + 1)
     weight = F.log((F.col("toxic") + PRIOR) / (n_toxic + PRIOR)) - F.log((F.col("other") + PRIOR) / (n_other + PRIOR))
-    lexicon: dict[str, float] = {}
+    error = F.sqrt(1 / (F.col("toxic") + PRIOR) + 1 / (F.col("other") + PRIOR))
+    scratch = Scratch(spark, "toxicity")
+    lexicon, n_features, n_bytes = None, 0, 0
     if n_toxic and n_other:
-        rows = (counts.where(F.col("toxic") >= MIN_DOCUMENTS).withColumn("weight", weight).where("weight > 0.5")
-                      .orderBy(F.desc("weight"), "feature").limit(MAX_FEATURES).select("feature", "weight").toArrow())
-        lexicon = dict(zip(rows.column("feature").to_pylist(), rows.column("weight").to_pylist()))
-    shared = spark.sparkContext.broadcast((cost, lexicon))                   # and MAX_FEATURES words
+        lexicon = scratch.write(counts.where(F.col("toxic") >= MIN_DOCUMENTS).withColumn("weight", weight)
+                                .where(F.col("weight") - error > LEAST_WEIGHT).select("feature", "weight"), "lexicon")
+        size = lexicon.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("feature") + 16), F.lit(0)).alias("bytes")).first()
+        n_features, n_bytes = size["n"], size["bytes"]
     keyed = docs.select("doc_id", text_key(F.col("text")).alias("key"), "text")
-    scored = Scratch(spark, "toxicity").write(
-        keyed.mapInArrow(_evidence(shared), "doc_id long, key long, evidence double"), "evidence")
+    if n_bytes <= max_lexicon_bytes:
+        table = lexicon.toArrow() if n_features else None
+        weights = dict(zip(table.column("feature").to_pylist(), table.column("weight").to_pylist())) if n_features else {}
+        shared = spark.sparkContext.broadcast((cost, weights))               # at most max_lexicon_bytes of words
+        evidence = keyed.mapInArrow(_evidence(shared), "doc_id long, key long, evidence double")
+    else:
+        evidence = _evidence_by_join(spark, keyed, lexicon, cost, scratch)
+    scored = scratch.write(evidence, "evidence")
     points = (scored.join(known.where(fold == CALIBRATION_FOLD), F.col("doc_id") == F.col("label_id"))
               .groupBy(F.round(F.least(F.col("evidence"), F.lit(100.0)), 1).alias("x"))     # at most 1001 rows
               .agg(F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("other")).toArrow())
     slope, base = 0.0, float(np.log(share / (1 - share)))
-    if points.num_rows and lexicon:
+    if points.num_rows and n_features:
         slope, base = fit_curve(*(points.column(c).to_numpy().astype(float) for c in ("x", "toxic", "other")), share)
     return scored.withColumn("score", 1 / (1 + F.exp(-(F.lit(slope) * F.least(F.col("evidence"), F.lit(100.0)) + base))))
 

@@ -119,3 +119,116 @@ def test_obfuscated_words_score_like_plain_ones(spark, folder):
     out = T.op1_toxicity(spark, folder(documents=table(spark, docs), labels=spark.createDataFrame(labels, "doc_id long, toxic int")))
     got = {r["doc_id"]: r["predicted"] for r in out.collect()}
     assert [got[1000 + i] for i in range(len(tricks))] == [1, 1, 1, 1, 1, 0]
+
+
+def test_marks_that_hide_letters():
+    cost = language_model(WORDS + ["ass", "glass", "viagra", "well", "known", "as", "piss", "at", "a", "grass", "class"] * 30)
+    for typed, words in (("id**t", ["idiot"]), ("l**er", ["loser"]), ("i***t", ["idiot"]), ("gla$$", ["glass"]), ("a$$", ["ass"]),
+                         ("@$$", ["ass"]), ("4$$", ["ass"]), ("v|@gr@", ["viagra"]), ("i-diot", ["idiot"]), ("st-upid", ["stupid"]),
+                         ("pi$$", ["piss"]), ("well-known", ["well", "known"]), ("letter", ["letter"]), ("letter***", ["letter"]),
+                         ("letter$$$", ["letter"]), ("$$$", []), ("5.00", []), ("2019", []), ("$20", []), ("1,234", []), ("12:30", []),
+                         ("100%", []), ("***", []), ("*******", [])):
+        assert T.clean_words(typed, cost) == words, typed
+
+
+def test_dense_search_equals_the_sparse_one():
+    cost = language_model(WORDS)
+    for token in ("1d10t", "l00ser", "st.u.p1d", "m 0 r 0 n", "l3tt3r", "i-diot", "m*ron", "gla$$"):
+        assert T._restore_dense(token, cost) == T.restore(token, cost)
+
+    def price(letters):
+        total, state = 0.0, (0, 0, 0)
+        for c in letters + "#":
+            k = T._code(c)
+            total += cost[(*state, k)]
+            state = (0, 0, 0) if k == 0 else (*state[1:], k)
+        return total
+    for token in ("m**n", "s**", "t**1e"):
+        ways = itertools.product(*T.lattice(token))
+        want = min((sum(c for _, c in w) + price("".join(x for x, _ in w)), "".join(x for x, _ in w)) for w in ways)
+        assert T.restore(token, cost) == want[1].strip("#")
+
+
+def toxic_corpus():
+    rng = np.random.default_rng(4)
+    vocabulary = ["garden", "letter", "see", "the", "window", "table", "house", "river", "apple", "music"]
+    docs, labels = [], []
+    for i in range(400):
+        words = list(rng.choice(vocabulary, 12))
+        if i % 4 == 0:
+            words[3:3] = [["idiot", "moron", "loser"][i % 3], ["stupid", "nasty"][i % 2]]
+        docs.append((i, " ".join(words)))
+        labels.append((i, int(i % 4 == 0)))
+    return docs + [(None, "an idiot"), (7, None), (7, "")], labels
+
+
+def test_joined_lexicon_gives_the_same_scores(spark):
+    docs, labels = toxic_corpus()
+    labels = spark.createDataFrame(labels, "doc_id long, toxic int")
+    got = [sorted((str(r["doc_id"]), r["key"], round(r["evidence"], 9), round(r["score"], 9)) for r in
+                  T.classify(spark, table(spark, docs), labels, max_lexicon_bytes=most).select("doc_id", F.coalesce("key", F.lit(0)).alias("key"), "evidence", "score").collect())
+           for most in (T.MAX_LEXICON_BYTES, 0)]
+    assert got[0] == got[1] and len({r[2] for r in got[0]}) > 2
+
+
+def test_evidence_equals_brute_force(spark):
+    """Features counted, weighed and summed row by row in plain Python."""
+    docs, labels = toxic_corpus()
+    out = {(r["doc_id"], r["key"]): r["evidence"] for r in T.classify(
+        spark, table(spark, docs), spark.createDataFrame(labels, "doc_id long, toxic int")).collect()}
+    fold = {i: zlib.crc32(str(i).encode()) % 5 for i, _ in labels}
+    learned = [(t, y) for (i, t), (_, y) in zip(docs, labels) if fold[i] not in (0, T.CALIBRATION_FOLD)]
+    n = [sum(y == k for _, y in learned) for k in (0, 1)]
+    counts = {}
+    for t, y in learned:
+        for f in {f for w in t.split() for f in T.features_of(w)}:
+            counts.setdefault(f, [0, 0])[y] += 1
+    weight = {}
+    for f, (other, toxic) in counts.items():
+        w = np.log((toxic + T.PRIOR) / (n[1] + T.PRIOR)) - np.log((other + T.PRIOR) / (n[0] + T.PRIOR))
+        if toxic >= T.MIN_DOCUMENTS and w - np.sqrt(1 / (toxic + T.PRIOR) + 1 / (other + T.PRIOR)) > T.LEAST_WEIGHT:
+            weight[f] = w
+    keys = {(r["doc_id"], r["text"]): r["key"] for r in table(spark, docs).select("doc_id", "text", F.xxhash64("text").alias("key")).collect()}
+    assert weight
+    for i, t in docs:
+        best = sorted((max(weight.get(f, 0.0) for f in T.features_of(w)) for w in set((t or "").split())), reverse=True)
+        assert abs(out[i, keys[i, t]] - sum(best[:T.TOP])) < 1e-9
+
+
+def test_predicted_follows_the_threshold(spark):
+    for query, least in ((T.op1_toxicity, 0.5), (Q.op5_quality, 0.3)):
+        rows = query(spark, "/root/testdata/sf0.01").collect()
+        assert all(r["predicted"] == int(r["score"] >= least) for r in rows) and len({r["predicted"] for r in rows}) == 2
+
+
+def fires(rule, row):
+    return all((row[name] <= t) == below for name, below, t in rule)
+
+
+def test_quality_scores_row_by_row(spark):
+    """The compiled columns against rules that plain Python reads."""
+    rng = np.random.default_rng(2)
+    frame = spark.createDataFrame([tuple(float(x) for x in rng.normal(size=len(Q.STATISTICS))) for _ in range(300)], list(Q.STATISTICS))
+    rules = [(Q.simplified(tuple((Q.STATISTICS[int(rng.integers(len(Q.STATISTICS)))], bool(rng.integers(2)), float(rng.normal()))
+                                 for _ in range(3))), float(rng.normal())) for _ in range(12)]
+    got = [r[0] for r in frame.select(Q.score_column((rules, 0.3))).collect()]
+    for row, score in zip(frame.collect(), got):
+        total = 0.3 + sum(w for rule, w in rules if fires(rule, row))
+        assert abs(score - 1 / (1 + np.exp(-total))) < 1e-9
+
+
+def test_quality_weights_are_optimal(spark):
+    """For each rule kept, loss gradient and penalty cancel: moving its weight pays neither way."""
+    rng = np.random.default_rng(1)
+    rows = [(float(y), *[float(y + rng.normal()) if s in Q.STATISTICS[:3] else float(rng.normal()) for s in Q.STATISTICS])
+            for y in (0, 1) for _ in range(300)]
+    df = spark.createDataFrame(rows, ["label", *Q.STATISTICS])
+    rules, intercept = Q.learn(df)
+    data = df.collect()
+    fired = np.array([[fires(rule, r) for rule, _ in rules] for r in data], float)
+    label = np.array([r["label"] for r in data])
+    weight = np.array([w for _, w in rules])
+    error = 1 / (1 + np.exp(-(fired @ weight + intercept))) - label
+    gradient = fired.T @ error / len(label)
+    assert len(rules) > 3 and abs(error.mean()) < 2e-3
+    assert np.abs(gradient + Q.PENALTY * np.sign(weight)).max() < 0.2 * Q.PENALTY + 1e-3
