@@ -9,51 +9,62 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterbill.schemas import SEGMENT_LABELS
-from meterbill.session import ensure_checkpoint_dir
+from meterbill.session import scratch_path
 
 TERTILES = [0.0, 1.0 / 3.0, 2.0 / 3.0, 1.0]
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: list[float]) -> list[float] | None:
-    """Exact linearly interpolated quantiles of ``col`` (NULLs ignored).
+def quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> tuple[int, dict[str, list[float] | None]]:
+    """Rows of ``df``, and exact linearly interpolated quantiles of each column
+    (NULLs ignored; None for a column without values).
 
-    Values are reduced to (value, multiplicity) by a distributed group-by and
-    range-partitioned; the running count of a partition is offset by the
-    totals of the partitions before it (a window over one row per partition),
-    and only the rows at the needed ranks reach the driver: at most two a
-    quantile. No task holds more than one range partition.
+    All columns go through together as (column, value): a distributed group-by
+    counts the values, one range partitioning orders them, and it is written
+    once. The running count of a partition is offset by the totals of the ones
+    before it (a window over a row for each column and partition), and only the
+    rows at the needed ranks reach the driver: at most two a quantile. No task
+    holds more than one range partition.
     """
-    v = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
-    d = v.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
-    ensure_checkpoint_dir(d.sparkSession)
-    parts = int(d.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    r = d.repartitionByRange(parts, "v").withColumn("_pid", F.spark_partition_id()).checkpoint()
-    totals = r.groupBy("_pid").agg(F.sum("c").alias("t"))
-    before = F.coalesce(F.sum("t").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    off = totals.select("_pid", before.alias("_off"))
-    n = totals.agg(F.sum("t")).first()[0]
-    if not n:
-        return None
-    w = Window.partitionBy("_pid").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    cum = (r.join(F.broadcast(off), "_pid")               # one row per range partition
+    spark = df.sparkSession
+    entries = [F.struct(F.lit(c).alias("k"), F.col(c).cast("double").alias("v")) for c in cols]
+    entries.append(F.struct(F.lit("").alias("k"), F.lit(0.0).alias("v")))              # counts the rows
+    stacked = df.select(F.explode(F.array(*entries)).alias("e")).select("e.k", "e.v").where("v IS NOT NULL")
+    counted = stacked.groupBy("k", "v").agg(F.count(F.lit(1)).alias("c"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    r = stored(counted.repartitionByRange(parts, "k", "v").withColumn("_pid", F.spark_partition_id()), "quantiles")
+    totals = r.groupBy("k", "_pid").agg(F.sum("c").alias("t"))
+    by_part = Window.partitionBy("k").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    off = totals.select("k", "_pid", F.coalesce(F.sum("t").over(by_part), F.lit(0)).alias("_off"))
+    n = {x["k"]: x["n"] for x in totals.groupBy("k").agg(F.sum("t").alias("n")).collect()}                    # a row a column
+    wanted = {c: sorted({k for p in probs for k in (math.floor((n[c] - 1) * p), math.ceil((n[c] - 1) * p))}) for c in cols if c in n}
+    if not wanted:
+        return n.get("", 0), dict.fromkeys(cols)
+    w = Window.partitionBy("k", "_pid").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    cum = (r.join(F.broadcast(off), ["k", "_pid"])        # a row for each column and range partition
            .withColumn("_hi", F.col("_off") + F.sum("c").over(w))
            .withColumn("_lo", F.col("_hi") - F.col("c")))
-    wanted = sorted({k for p in probs for k in (math.floor((n - 1) * p), math.ceil((n - 1) * p))})
-    hit = reduce(lambda a, b: a | b, [(F.col("_lo") <= k) & (F.lit(k) < F.col("_hi")) for k in wanted])
-    rows = cum.where(hit).select("v", "_lo", "_hi").collect()
-    at = {k: next(x["v"] for x in rows if x["_lo"] <= k < x["_hi"]) for k in wanted}
-    out = []
-    for p in probs:
-        pos = (n - 1) * p
-        lo, hi = math.floor(pos), math.ceil(pos)
-        out.append(at[lo] if lo == hi else at[lo] + (at[hi] - at[lo]) * (pos - lo))
-    return out
+    hit = reduce(lambda a, b: a | b, [(F.col("k") == c) & (F.col("_lo") <= k) & (F.lit(k) < F.col("_hi")) for c in wanted for k in wanted[c]])
+    rows = cum.where(hit).select("k", "v", "_lo", "_hi").collect()
+    found: dict[str, list[float] | None] = dict.fromkeys(cols)
+    for c, ranks in wanted.items():
+        at = {k: next(x["v"] for x in rows if x["k"] == c and x["_lo"] <= k < x["_hi"]) for k in ranks}
+        found[c] = []
+        for p in probs:
+            pos = (n[c] - 1) * p
+            lo, hi = math.floor(pos), math.ceil(pos)
+            found[c].append(at[lo] if lo == hi else at[lo] + (at[hi] - at[lo]) * (pos - lo))
+    return n.get("", 0), found
+
+
+def exact_quantiles(df: DataFrame, col: str, probs: list[float]) -> list[float] | None:
+    return quantiles(df, [col], probs)[1][col]
 
 
-def _edges(df: DataFrame, cols: list[str]) -> tuple[int, dict[str, list[float] | None]]:
-    """Population size and exact tertile edges of each column."""
-    n = df.count()
-    return n, {c: exact_quantiles(df, c, TERTILES) for c in cols} if n > 3 else {}
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared scratch folder and read back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _score(col: str, edges: list[float] | None):
@@ -70,13 +81,11 @@ def rfm_scores(df: DataFrame, frequency: str = "total_invoices", monetary: str =
     """Frequency and monetary scores over the population passed in (no
     recency term). Populations of 3 rows or fewer are not scored.
 
-    The population is checkpointed once (reliable, in the shared checkpoint
-    folder): the size check, the edges and the scoring then read it instead
-    of re-running the pipeline that produced it.
+    The population is written once to the shared scratch folder: the edges and
+    the scoring read it instead of re-running the pipeline that produced it.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    df = df.checkpoint()
-    n, e = _edges(df, [frequency, monetary])
+    df = stored(df, "population")
+    n, e = quantiles(df, [frequency, monetary], TERTILES)
     if n <= 3:
         return df.select("*", *[F.lit(None).cast("int").alias(c)
                                 for c in ("frequency_score", "monetary_score", "rfm_score")])

@@ -15,6 +15,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meterbill.functions import rating as R
 from meterbill.functions import sql as SQ
@@ -37,7 +38,7 @@ from meterbill.sources import sinks as SK
 from meterbill.sources.cdr import decode_cdr, read_cdr_stream
 from meterbill.sources.rated_store import RatedStore
 from meterbill.sources.result_cache import ResultCache
-from meterbill.sources.tables import empty_frame, read_or_empty, read_table, shared_cache, table_path
+from meterbill.sources.tables import empty_frame, path_exists, read_or_empty, read_table, shared_cache, table_path
 from meterbill.streaming import mediation as SM
 from meterbill.streaming import winners as SW
 
@@ -50,6 +51,9 @@ FILTER_PERIOD, FILTER_REGION = "2001-07", "Casablanca-Settat"
 RAW_FIELDS = [f.name for f in RAW_CDR.fields]
 
 
+_PRIOR: dict[tuple[str, str], str] = {}
+
+
 class Inputs:
     """Lazily derived input frames for one (session, data folder)."""
 
@@ -123,11 +127,15 @@ class Inputs:
 
     @cached_property
     def prior_rated(self) -> DataFrame:
-        """What an earlier run rated and stored: events before PRIOR_CUTOFF."""
-        path = scratch_path(self.spark, "rated-table")
-        SK.write_rated(RT.rate(self.normalized.where(F.col("timestamp") < F.lit(PRIOR_CUTOFF)), self.customers,
-                               self.rates, self.no_rated, USAGE_AS_OF), path, mode="overwrite")
-        return self.spark.read.parquet(path)
+        """What an earlier run rated and stored: events before PRIOR_CUTOFF. The
+        table is written when a session first asks for it."""
+        at = (self.spark.sparkContext.applicationId, self.root)
+        if at not in _PRIOR or not path_exists(self.spark, _PRIOR[at]):
+            path = scratch_path(self.spark, "rated-table")
+            SK.write_rated(RT.rate(self.normalized.where(F.col("timestamp") < F.lit(PRIOR_CUTOFF)), self.customers,
+                                   self.rates, self.no_rated, USAGE_AS_OF), path, mode="overwrite")
+            _PRIOR[at] = path
+        return self.spark.read.schema(T.StructType([*RATED_CDR.fields, T.StructField(SK.USAGE_MONTH, T.DateType())])).parquet(_PRIOR[at])
 
     @cached_property
     def new_rated(self) -> DataFrame:
@@ -200,7 +208,9 @@ def _run_stream(i: Inputs, transform, trigger: str | None = None, graceful: bool
     else:
         query.processAllAvailable()
         SM.stop(query) if graceful else query.stop()
-    return i.spark.read.parquet(out).drop("stream", "batch_id", "event_date")
+    schema = transform(stream).schema            # an output without rows has none
+    columns = [f.name for f in schema.fields]
+    return i.spark.read.schema(schema).parquet(out).select(*columns)
 
 
 # ------------------------------------------------------------ 2.1 sources --

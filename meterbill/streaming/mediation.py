@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import time
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 DEFAULT_TRIGGER = "10 seconds"
+WRITERS_A_DATE = 4
 
 
 def dedup_stream(df: DataFrame) -> DataFrame:
@@ -53,8 +55,9 @@ def anti_join_batch_writer(out_path: str, checkpoint: str):
         from meterbill.sources.tables import path_exists
         spark = batch.sparkSession
         stream = stream_id(spark, checkpoint)
-        new = batch.withColumn("event_date", F.coalesce(_event_date().cast("string"), F.lit("none"))) \
-                   .dropDuplicates(["record_hash"])
+        from meterbill.operators.mediation import deduplicate
+        new = deduplicate(batch).withColumn("event_date", F.coalesce(_event_date().cast("string"), F.lit("none")))
+        kept = new = new.persist(StorageLevel.DISK_ONLY)        # its dates are read first, then its rows
         if path_exists(spark, out_path):
             stored = spark.read.option("basePath", out_path).schema(
                 "record_hash string, stream string, batch_id long, event_date string").parquet(f"{out_path}/stream=*")
@@ -62,19 +65,23 @@ def anti_join_batch_writer(out_path: str, checkpoint: str):
             dates = [r[0] for r in new.select("event_date").distinct().collect()]     # days of one batch
             earlier = earlier.where(F.col("event_date").isin(dates)).select("record_hash")
             new = new.join(earlier, "record_hash", "left_anti").select(*new.columns)
-        (new.write.mode("overwrite").partitionBy("event_date")
+        (new.hint("rebalance", "event_date").write.mode("overwrite").partitionBy("event_date")
             .parquet(f"{out_path}/stream={stream}/batch_id={batch_id}"))
+        kept.unpersist()
     return write
 
 
 def start_mediation(df: DataFrame, out_path: str, checkpoint: str, trigger: str | None = DEFAULT_TRIGGER,
-                    available_now: bool = False, fmt: str = "parquet", sink: str = "files") -> StreamingQuery:
+                    available_now: bool = False, fmt: str = "parquet", sink: str = "files",
+                    writers_a_date: int = WRITERS_A_DATE) -> StreamingQuery:
     """Run the mediated stream into ``out_path`` with a checkpoint (offset
     and commit logs give restart recovery).
 
     ``sink="files"`` (default): Spark's file sink, exactly-once through its
     own metadata log, one folder per event date (``event_date``), so readers
-    prune by date and no folder per micro-batch piles up.
+    prune by date and no folder per micro-batch piles up. A batch's rows of one
+    date meet in at most ``writers_a_date`` tasks: not a file for each task and
+    date, and a date that holds nearly all rows is still written in parallel.
     ``sink="foreach_batch"``: each micro-batch goes through
     ``idempotent_batch_writer`` -- the shape to use for external sinks
     (e.g. a JDBC append) that need per-batch code.
@@ -82,7 +89,8 @@ def start_mediation(df: DataFrame, out_path: str, checkpoint: str, trigger: str
     de-duplicated yet.
     """
     if sink == "files":
-        w = (df.withColumn("event_date", _event_date()).writeStream.format(fmt)
+        share = F.pmod(F.xxhash64(*df.columns), F.lit(writers_a_date))
+        w = (df.withColumn("event_date", _event_date()).repartition(F.col("event_date"), share).writeStream.format(fmt)
              .option("path", out_path).partitionBy("event_date").outputMode("append"))
     elif sink == "foreach_batch":
         w = df.writeStream.foreachBatch(idempotent_batch_writer(out_path, checkpoint, fmt))
