@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,26 +33,25 @@ def quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> tuple[int,
     r = stored(counted.repartitionByRange(parts, "k", "v").withColumn("_pid", F.spark_partition_id()), "quantiles")
     totals = r.groupBy("k", "_pid").agg(F.sum("c").alias("t"))
     by_part = Window.partitionBy("k").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    off = totals.select("k", "_pid", F.coalesce(F.sum("t").over(by_part), F.lit(0)).alias("_off"))
-    n = {x["k"]: x["n"] for x in totals.groupBy("k").agg(F.sum("t").alias("n")).collect()}                    # a row a column
-    wanted = {c: sorted({k for p in probs for k in (math.floor((n[c] - 1) * p), math.ceil((n[c] - 1) * p))}) for c in cols if c in n}
-    if not wanted:
-        return n.get("", 0), dict.fromkeys(cols)
+    n = F.sum("t").over(Window.partitionBy("k"))
+    places = [f(F.lit(p) * (F.col("_n") - 1)) for p in probs for f in (F.floor, F.ceil)]
+    off = totals.select("k", "_pid", F.coalesce(F.sum("t").over(by_part), F.lit(0)).alias("_off"), n.alias("_n")).withColumn(
+        "_ranks", F.array_distinct(F.array(*places)))
     w = Window.partitionBy("k", "_pid").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     cum = (r.join(F.broadcast(off), ["k", "_pid"])        # a row for each column and range partition
            .withColumn("_hi", F.col("_off") + F.sum("c").over(w))
            .withColumn("_lo", F.col("_hi") - F.col("c")))
-    hit = reduce(lambda a, b: a | b, [(F.col("k") == c) & (F.col("_lo") <= k) & (F.lit(k) < F.col("_hi")) for c in wanted for k in wanted[c]])
-    rows = cum.where(hit).select("k", "v", "_lo", "_hi").collect()
+    hit = F.exists("_ranks", lambda k: (F.col("_lo") <= k) & (k < F.col("_hi")))
+    rows = cum.where(hit).select("k", "v", "_lo", "_hi", "_n").collect()
+    size = {x["k"]: x["_n"] for x in rows}
     found: dict[str, list[float] | None] = dict.fromkeys(cols)
-    for c, ranks in wanted.items():
-        at = {k: next(x["v"] for x in rows if x["k"] == c and x["_lo"] <= k < x["_hi"]) for k in ranks}
+    for c in (c for c in cols if c in size):
         found[c] = []
         for p in probs:
-            pos = (n[c] - 1) * p
-            lo, hi = math.floor(pos), math.ceil(pos)
-            found[c].append(at[lo] if lo == hi else at[lo] + (at[hi] - at[lo]) * (pos - lo))
-    return n.get("", 0), found
+            pos = (size[c] - 1) * p
+            lo, hi = (next(x["v"] for x in rows if x["k"] == c and x["_lo"] <= k < x["_hi"]) for k in (math.floor(pos), math.ceil(pos)))
+            found[c].append(lo if pos == math.floor(pos) else lo + (hi - lo) * (pos - math.floor(pos)))
+    return size.get("", 0), found
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: list[float]) -> list[float] | None:

@@ -46,6 +46,7 @@ USAGE_AS_OF = FX.USAGE_AS_OF
 HISTORY_AS_OF = FX.HISTORY_AS_OF
 USAGE_PERIOD = dt.date(2024, 1, 1)
 PRIOR_CUTOFF = dt.date(2024, 1, 16)     # the earlier rating run covered events before this day
+PERIOD_LABEL = USAGE_PERIOD.strftime("%Y-%m")
 HISTORY_PERIOD = dt.date(2001, 7, 1)
 FILTER_PERIOD, FILTER_REGION = "2001-07", "Casablanca-Settat"
 RAW_FIELDS = [f.name for f in RAW_CDR.fields]
@@ -270,8 +271,8 @@ def _(i):
 def _(i):
     path = scratch_path(i.spark, "invoice-docs")
     docs = B.invoice_documents(i.customers, i.rates, i.rated, i.invoices_hist, USAGE_AS_OF)
-    SK.write_invoice_documents(docs, path)
-    SK.write_invoice_documents(docs, path)      # a second run adds nothing
+    SK.write_invoice_documents(docs, path, [PERIOD_LABEL])
+    SK.write_invoice_documents(docs, path, [PERIOD_LABEL])      # a second run adds nothing
     back = i.spark.read.text(path)
     doc_type = docs.schema["document"].dataType
     return B.flatten_documents(back.select(F.from_json("value", doc_type).alias("document")))
@@ -1047,7 +1048,7 @@ def _(i):
     invoices, documents = run_billing(i.customers, i.rates, rated, i.invoices_hist, USAGE_AS_OF,
                                       stage_path=scratch_path(i.spark, "invoice-terms"))
     path = scratch_path(i.spark, "invoice-docs")
-    SK.write_invoice_documents(documents, path)
+    SK.write_invoice_documents(documents, path, [PERIOD_LABEL])
     stored = i.spark.read.text(path).select(F.from_json("value", documents.schema["document"].dataType).alias("document"))
     d = B.flatten_documents(stored).select(
         "customer_id", F.col("free_units_credit").alias("document_credit"),

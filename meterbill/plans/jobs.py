@@ -62,5 +62,5 @@ def run_pipeline(raw: DataFrame, customers: DataFrame, rates: DataFrame, rated:
     new_invoices, documents = run_billing(customers, rates, all_rated, invoices, as_of,
                                           stage_path=stage_path and f"{stage_path}/terms")
     if documents_path is not None:
-        write_invoice_documents(documents, documents_path)
+        write_invoice_documents(documents, documents_path, [as_of.strftime("%Y-%m")])
     return region_revenue(invoices.unionByName(new_invoices), customers, as_of, months)

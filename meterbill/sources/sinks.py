@@ -38,17 +38,21 @@ def write_invoices(invoices: DataFrame, path: str, mode: str = "append") -> None
     invoices.write.mode(mode).partitionBy("billing_period").parquet(path)
 
 
-def write_invoice_documents(docs: DataFrame, path: str) -> None:
+def write_invoice_documents(docs: DataFrame, path: str, periods: list[str] | None = None) -> None:
     """One JSON document per line, folders by billing period; written by
     the executors in parallel (no driver-side files). Documents are added,
     never replaced: one per customer and period, so a second run of a month
-    adds those of customers that have none yet."""
+    adds those of customers that have none yet. ``periods`` (as the documents
+    write them) names those of ``docs``; then only their folders are read, and
+    documents of others are left out."""
+    spark = docs.sparkSession
     rows = docs.select(F.col("document.customer_id").alias("customer_id"),
                        F.col("document.billing_period").alias("billing_period"), F.to_json("document").alias("value"))
-    if path_exists(docs.sparkSession, path):
-        done = docs.sparkSession.read.schema("value string, billing_period string").text(path).select(
-            F.get_json_object("value", "$.customer_id").alias("customer_id"),
-            F.get_json_object("value", "$.billing_period").alias("billing_period"))
+    if path_exists(spark, path):
+        done = spark.read.schema("value string, billing_period string").text(path)
+        if periods is not None:                  # folders of other periods are not read
+            rows, done = (x.where(F.col("billing_period").isin(list(periods))) for x in (rows, done))
+        done = done.select("billing_period", F.get_json_object("value", "$.customer_id").alias("customer_id"))
         rows = rows.join(done, ["customer_id", "billing_period"], "left_anti")
     rows.select("billing_period", "value").write.mode("append").partitionBy("billing_period").text(path)
 

@@ -164,3 +164,23 @@ def test_late_usage_adds_documents(spark, scratch):
     SK.write_invoice_documents(B.invoice_documents(c, rates(spark), both, no_invoices(spark), AS_OF), path)
     got = sorted(json.loads(r["value"])["customer_id"] for r in spark.read.text(path).collect())
     assert got == ["c1", "c2"]
+
+
+def test_documents_of_a_month_read_its_folder(spark, scratch, monkeypatch):
+    from pyspark.sql import functions as F
+    path = scratch("docs")
+    docs = spark.createDataFrame([(("c1", "2024-01"),), (("c1", "2024-02"),), (("c2", "2024-02"),)],
+                                 "document struct<customer_id:string,billing_period:string>")
+    SK.write_invoice_documents(docs.where("document.billing_period = '2024-01'"), path, ["2024-01"])
+    plans, plain = [], type(docs).join
+
+    def spied(self, other, *a, **k):
+        plans.append(other._jdf.queryExecution().executedPlan().toString())
+        return plain(self, other, *a, **k)
+    monkeypatch.setattr(type(docs), "join", spied)
+    for _ in range(2):
+        SK.write_invoice_documents(docs, path, ["2024-02"])
+    monkeypatch.undo()
+    assert all("billing_period" in p.split("PartitionFilters")[1].split("]")[0] and "2024-02" in p for p in plans) and len(plans) == 2
+    kept = spark.read.text(path).groupBy("billing_period").agg(F.count("*").alias("n")).collect()
+    assert {str(r["billing_period"]): r["n"] for r in kept} == {"2024-01": 1, "2024-02": 2}
