@@ -17,6 +17,7 @@ SHAPE_FIELDS = {
     "sms": ["sender_id", "receiver_id", "cell_id", "technology"],
     "data": ["user_id", "data_volume_mb", "session_duration_sec", "cell_id", "technology"],
 }
+FLAGS = ("_n", "_m", "_c", "_u")
 ARRIVAL_BLOCK = 1 << 22   # rows per ordered block of the out-of-order scan
 
 
@@ -55,21 +56,30 @@ def out_of_order_count(decoded: DataFrame, order_col: str = "offset",
     with the last row of the preceding non-empty block of the same source
     partition, taken from a per-block summary (one row per block).
     """
+    return out_of_order_total(arrival_blocks(decoded, order_col, partition_col))
+
+
+def arrival_blocks(decoded: DataFrame, order_col: str = "offset", partition_col: str | None = None) -> DataFrame:
+    """One row for each block of arrivals: ``source, first_at, late, first_time,
+    last_time`` (rows earlier than their predecessor within the block, event
+    times of its first and last row)."""
     ts = F.expr("try_cast(timestamp AS TIMESTAMP)")
-    part = [F.col(partition_col).alias("_p")] if partition_col else [F.lit(0).alias("_p")]
-    x = decoded.select(*part, F.col(order_col).alias("_o"), ts.alias("_ts"),
+    part = F.col(partition_col).cast("long") if partition_col else F.lit(0).cast("long")
+    x = decoded.select(part.alias("source"), F.col(order_col).alias("_o"), ts.alias("_ts"),
                        F.floor(F.col(order_col) / ARRIVAL_BLOCK).alias("_b"))
-    w = Window.partitionBy("_p", "_b").orderBy("_o", "_ts")
+    w = Window.partitionBy("source", "_b").orderBy("_o", "_ts")
     x = x.withColumn("_late", (F.col("_ts") < F.lag("_ts").over(w)).cast("int"))
-    # per block: arrivals before their predecessor, first and last time; the
-    # first of a block is then compared with the last of the block before it
-    blocks = x.groupBy("_p", "_b").agg(
-        F.sum("_late").alias("_late"), F.min(F.struct("_o", "_ts"))["_ts"].alias("_first"),
-        F.max(F.struct("_o", "_ts"))["_ts"].alias("_last"))
-    carry = F.lag("_last").over(Window.partitionBy("_p").orderBy("_b"))
-    blocks = blocks.withColumn("_edge", (F.col("_first") < carry).cast("int"))
-    return blocks.agg(F.coalesce(F.sum(F.coalesce("_late", F.lit(0)) + F.coalesce("_edge", F.lit(0))), F.lit(0))
-                      .cast("bigint").alias("out_of_order"))
+    return x.groupBy("source", "_b").agg(
+        F.min("_o").cast("long").alias("first_at"), F.coalesce(F.sum("_late"), F.lit(0)).cast("long").alias("late"),
+        F.min(F.struct("_o", "_ts"))["_ts"].alias("first_time"), F.max(F.struct("_o", "_ts"))["_ts"].alias("last_time")).drop("_b")
+
+
+def out_of_order_total(blocks: DataFrame) -> DataFrame:
+    """``out_of_order`` of all arrivals from their blocks: the first row of a block
+    is compared with the last of the block before it in its source partition."""
+    carry = F.lag("last_time").over(Window.partitionBy("source").orderBy("first_at"))
+    edges = blocks.withColumn("_edge", F.coalesce((F.col("first_time") < carry).cast("int"), F.lit(0)))
+    return edges.agg(F.coalesce(F.sum(F.col("late") + F.col("_edge")), F.lit(0)).cast("bigint").alias("out_of_order"))
 
 
 def anomaly_profile(decoded: DataFrame, order_col: str = "offset",
@@ -83,21 +93,34 @@ def anomaly_profile(decoded: DataFrame, order_col: str = "offset",
     hash with very many copies stays one row per task), and the ordered
     arrival scan.
     """
+    per_hash = hash_flags(decoded)
+    return profile_of(per_hash, out_of_order_count(decoded, order_col, partition_col))
+
+
+def hash_flags(decoded: DataFrame) -> DataFrame:
+    """For each record hash: deliveries, and how many of them miss fields, are
+    corrupted, are of an unknown type. Sums of it merge."""
     rt = F.col("record_type")
     flagged = with_record_hash(normalize_parties(decoded)).select(
         "record_hash",
         _missing_field().cast("int").alias("_m"),
         _corrupted().cast("int").alias("_c"),
         (rt.isNotNull() & ~rt.isin(*SERVICES)).cast("int").alias("_u"))
-    per_hash = flagged.groupBy("record_hash").agg(
-        F.count(F.lit(1)).alias("_n"), F.sum("_m").alias("_m"), F.sum("_c").alias("_c"), F.sum("_u").alias("_u"))
+    return merged_flags(flagged.withColumn("_n", F.lit(1)))
+
+
+def merged_flags(flags: DataFrame) -> DataFrame:
+    return flags.groupBy("record_hash").agg(*[F.sum(c).alias(c) for c in FLAGS])
+
+
+def profile_of(per_hash: DataFrame, ooo: DataFrame) -> DataFrame:
+    """The profile from a row for each hash and the out-of-order total."""
     counts = per_hash.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("total_records"),
         F.coalesce(F.sum("_m"), F.lit(0)).cast("bigint").alias("missing_fields"),
         F.coalesce(F.sum("_c"), F.lit(0)).cast("bigint").alias("corrupted_values"),
         F.coalesce(F.sum("_u"), F.lit(0)).cast("bigint").alias("unknown_types"),
         F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("duplicates"))
-    ooo = out_of_order_count(decoded, order_col, partition_col)
     # two one-row frames stacked and folded (no join needed)
     cols = ["total_records", "missing_fields", "corrupted_values", "unknown_types", "duplicates", "out_of_order"]
 

@@ -39,6 +39,7 @@ from meterbill.sources.cdr import decode_cdr, read_cdr_stream
 from meterbill.sources.rated_store import RatedStore
 from meterbill.sources.result_cache import ResultCache
 from meterbill.sources.tables import empty_frame, path_exists, read_or_empty, read_table, shared_cache, table_path
+from meterbill.streaming import anomalies as SN
 from meterbill.streaming import mediation as SM
 from meterbill.streaming import winners as SW
 
@@ -391,6 +392,17 @@ def _(i):
     return Q.anomaly_profile(i.decoded)
 
 
+@q("med_anomaly_profile_stream")
+def _(i):
+    """The same profile from micro-batches, each a range of offsets."""
+    log, out = scratch_path(i.spark, "cdr-log"), scratch_path(i.spark, "profile")
+    rows = i.raw.select(F.col("offset").cast("long").alias("offset"), "value")
+    rows.repartitionByRange(4, "offset").write.parquet(log)
+    stream = i.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", "1").parquet(log)
+    SN.start_anomaly_profile(stream, out, scratch_path(i.spark, "ckpt"), available_now=True).awaitTermination()
+    return SN.stream_anomaly_profile(i.spark, out)
+
+
 @q("dq_checks")
 def _(i):
     return Q.constraint_report({

@@ -638,7 +638,8 @@ FROM enriched e LEFT JOIN iu u ON u.customer_id = e.customer_id AND u.billing_pe
 
 BODIES["sink_export_json"] = BODIES["sink_export"]
 BODIES["sink_append_once"] = NORMALIZED
-for _name, _same in (("dq_quarantine", "dq_checks"), ("cache_result", "cache_table"), ("win_page_seek", "win_page"),
+for _name, _same in (("dq_quarantine", "dq_checks"), ("med_anomaly_profile_stream", "med_anomaly_profile"),
+                     ("cache_result", "cache_table"), ("win_page_seek", "win_page"),
                      ("agg_processing_by_day_stream", "agg_processing_by_day"), ("agg_revenue_monthly_stored", "agg_revenue_monthly"),
                      ("agg_region_revenue_stored", "agg_region_revenue"), ("agg_region_performance_stored", "agg_region_performance")):
     BODIES[_name] = BODIES[_same]
