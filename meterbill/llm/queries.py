@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination
+from . import decontamination, resampling
 from .alignment import op12_alignment
 from .curves import op9_nearest
 from .decontamination import op3_decontamination
@@ -50,4 +50,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_decontamination": decontamination.ORACLE_SQL,
+        "op11_resampling": resampling.ORACLE_SQL,
     }

@@ -204,3 +204,40 @@ def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     target = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return resample(spark, docs, target).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+# -- the query in DuckDB SQL ----------------------------------------------------
+
+_WORDS = ("regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+          "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')")
+_STEPS = "".join(f", t{i + 1} AS (SELECT i, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END AS v FROM t{i})"
+                 for i in range(8))
+
+
+def _features(source: str) -> str:
+    return f"""SELECT id, w, unnest(list_concat(w, list_concat(
+    list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]),
+    list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])))) AS f FROM {source}"""
+
+
+#: crc32 byte by byte through its table of 256 values
+ORACLE_SQL = f"""WITH t0 AS (SELECT i, i::BIGINT AS v FROM range(256) r(i)){_STEPS},
+table_ AS (SELECT list(v ORDER BY i) AS t FROM t8),
+docs AS (SELECT row_number() OVER () AS id, doc_id, {_WORDS} AS w FROM documents),
+bench AS (SELECT row_number() OVER () AS id, {_WORDS} AS w FROM benchmark),
+doc_features AS (SELECT id, f, count(*) AS n FROM ({_features('docs')}) GROUP BY ALL),
+bench_features AS (SELECT f, count(*) AS n FROM ({_features('bench')}) GROUP BY ALL),
+hashed AS (SELECT f, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, strlen(f)), lambda k:
+    ('0x' || substr(h, 2 * k + 1, 2))::BIGINT)), lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295::BIGINT) % 10000 AS bucket
+  FROM (SELECT f, hex(encode(f)) AS h FROM (SELECT f FROM doc_features UNION SELECT f FROM bench_features)), table_),
+s AS (SELECT bucket, sum(n) AS n FROM doc_features JOIN hashed USING (f) GROUP BY 1),
+t AS (SELECT bucket, sum(n) AS n FROM bench_features JOIN hashed USING (f) GROUP BY 1),
+gains AS (SELECT b AS bucket, floor(1000 * ln((coalesce(t.n, 0)::DOUBLE + 1) * (coalesce((SELECT sum(n) FROM s), 0)::DOUBLE + 10000)
+    / ((coalesce(s.n, 0)::DOUBLE + 1) * (coalesce((SELECT sum(n) FROM t), 0)::DOUBLE + 10000)))) AS gain
+  FROM range(10000) r(b) LEFT JOIN s ON s.bucket = b LEFT JOIN t ON t.bucket = b),
+weights AS (SELECT id, sum(n) AS n_features, sum(n * gain) AS weight FROM doc_features JOIN hashed USING (f) JOIN gains USING (bucket) GROUP BY id),
+scored AS (SELECT id, doc_id, len(w) AS n_words, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+    coalesce(weight, 0)::BIGINT + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM docs LEFT JOIN weights USING (id)),
+ranked AS (SELECT id, row_number() OVER (ORDER BY score DESC, doc_id NULLS FIRST) AS r, count(*) OVER () AS fit FROM scored WHERE n_words >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN r <= 5 * fit // 100 THEN r END::BIGINT AS rank FROM scored LEFT JOIN ranked USING (id)"""
