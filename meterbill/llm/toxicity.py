@@ -9,8 +9,8 @@ under a 4-gram character model and the channel's costs restores the word.
 The character model is counted over the words of all documents (27 symbols, so
 at most 27^4 numbers). The score learns from labels: for restored words and
 their beginnings, the share of toxic and of other documents that hold them gives
-a log-odds weight; every feature whose weight is surely positive (one standard
-error below it is still above ``LEAST_WEIGHT``) is in the lexicon. The strongest
+a log-odds weight; every feature whose weight is above ``LEAST_WEIGHT`` and
+surely positive (by one standard error) is in the lexicon. The strongest
 words of a document are its evidence, and a logistic curve over evidence, fitted
 on a fold of its own, is the score. A lexicon of a checked size travels to the
 tasks; a larger one is joined to the documents' words by shuffle.
@@ -324,28 +324,30 @@ def _count_features(shared) -> Callable:
 
 
 def _evidence(shared) -> Callable:
-    run_words = _document_words(shared.value[0])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon = shared.value[1]
-        hot: dict[str, float] = {}
+        cost, lexicon = shared.value
         seen: set[str] = set()
+        hot: dict[str, list[tuple[str, float]]] = {}       # typed tokens with words of the lexicon
 
-        def weigh(words: set[str]) -> None:
-            for w in words:
-                weight = max(lexicon.get(f, 0.0) for f in features_of(w))
-                if weight:
-                    hot[w] = weight
+        def weigh(tokens: set[str]) -> None:
+            for t in tokens:
+                weights = [(w, max(lexicon.get(f, 0.0) for f in features_of(w))) for w in clean_words(t, cost)]
+                found = [x for x in weights if x[1]]
+                if found:
+                    hot[t] = found
 
         for batch in batches:
             out = []
-            for words in run_words(texts_of(batch)):
+            for text in texts_of(batch):
+                tokens = text.split()
+                distinct = {*tokens, *spaced_runs(tokens)}
                 if len(seen) > _REMEMBERED:
                     seen, hot = set(), {}
-                new = words - seen
+                new = distinct - seen
                 weigh(new)
                 seen |= new
-                out.append(float(sum(sorted((hot[w] for w in words if w in hot), reverse=True)[:TOP])))
+                words = dict(x for t in distinct & hot.keys() for x in hot[t])
+                out.append(float(sum(sorted(words.values(), reverse=True)[:TOP])))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), pa.array(out, pa.float64())],
                                              ["doc_id", "key", "evidence"])
     return run
@@ -420,7 +422,7 @@ def classify(spark: SparkSession, docs: DataFrame, labels: DataFrame, label: str
     lexicon, n_features, n_bytes = None, 0, 0
     if n_toxic and n_other:
         lexicon = scratch.write(counts.where(F.col("toxic") >= MIN_DOCUMENTS).withColumn("weight", weight)
-                                .where(F.col("weight") - error > LEAST_WEIGHT).select("feature", "weight"), "lexicon")
+                                .where((F.col("weight") > LEAST_WEIGHT) & (F.col("weight") > error)).select("feature", "weight"), "lexicon")
         size = lexicon.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("feature") + 16), F.lit(0)).alias("bytes")).first()
         n_features, n_bytes = size["n"], size["bytes"]
     keyed = docs.select("doc_id", text_key(F.col("text")).alias("key"), "text")

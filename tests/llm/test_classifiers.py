@@ -186,7 +186,7 @@ def test_evidence_equals_brute_force(spark):
     weight = {}
     for f, (other, toxic) in counts.items():
         w = np.log((toxic + T.PRIOR) / (n[1] + T.PRIOR)) - np.log((other + T.PRIOR) / (n[0] + T.PRIOR))
-        if toxic >= T.MIN_DOCUMENTS and w - np.sqrt(1 / (toxic + T.PRIOR) + 1 / (other + T.PRIOR)) > T.LEAST_WEIGHT:
+        if toxic >= T.MIN_DOCUMENTS and w > max(T.LEAST_WEIGHT, np.sqrt(1 / (toxic + T.PRIOR) + 1 / (other + T.PRIOR))):
             weight[f] = w
     keys = {(r["doc_id"], r["text"]): r["key"] for r in table(spark, docs).select("doc_id", "text", F.xxhash64("text").alias("key")).collect()}
     assert weight
