@@ -46,6 +46,13 @@ class Scratch:
             path.getFileSystem(conf).delete(path, True)
 
 
+def broadcast_if_small(df: DataFrame, row_bytes: Column, most: int) -> DataFrame:
+    """``df`` with a broadcast hint if its rows, of ``row_bytes`` each, take at most
+    ``most`` bytes together; else as it is, for a join by shuffle."""
+    total = df.agg(F.coalesce(F.sum(row_bytes.cast("long")), F.lit(0))).first()[0]
+    return F.broadcast(df) if total <= most else df
+
+
 def worker_local(key: str, make):
     """One object for all tasks that a Python worker process runs in turn."""
     import sys

@@ -41,10 +41,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .clusters import Forest, components, deal, spanning_links
-from .common import Scratch, chunks, fresh, mix64, shingle_sets, text_key, texts_of
+from .common import Scratch, broadcast_if_small, chunks, fresh, mix64, shingle_sets, text_key, texts_of
 
 MAX_COUNTED = 1_000_000       # rows of the broadcast table of frequent shingles
-MAX_BROADCAST_DOCS = 250_000
+MAX_BROADCAST_BYTES = 32 << 20
 _FLUSH = 2_000_000            # shingles a task holds before it counts them
 _TASK_SHINGLES = 1_500_000    # shingles that meet in one search task
 _LEAD = 25                    # l is one of so many shingles of a set (at least 1)
@@ -262,8 +262,7 @@ def link_documents(spark: SparkSession, docs: DataFrame, k: int = 5, num: int =
         "grp", F.col("sig").alias("node"), F.col("size").alias("weight"), "first")
     wanted = scratch.write(deal(members, _TASK_SHINGLES).select(
         "grp", F.col("node").alias("sig"), "meets", F.col("first.doc_id").alias("want_id"), F.col("first.key").alias("want_key")), "wanted")
-    few = wanted.count() <= MAX_BROADCAST_DOCS
-    texts = keyed.join(F.broadcast(wanted) if few else wanted,
+    texts = keyed.join(broadcast_if_small(wanted, 120 + 8 * F.size("meets"), MAX_BROADCAST_BYTES),
                        keyed["doc_id"].eqNullSafe(F.col("want_id")) & (keyed["key"] == F.col("want_key")))
     found = texts.select("grp", "sig", "meets", "text").mapInArrow(
         _sets(k), "grp long, node binary, meets array<struct<i:int,j:int>>, payload array<long>")

@@ -56,7 +56,7 @@ def key(r):
 def test_equals_brute_force(spark, monkeypatch, odd_texts, k, num, small):
     if small:                          # everything dealt out in chunks, nothing broadcast, no counted shingles
         monkeypatch.setattr(N, "_TASK_SHINGLES", 300)
-        monkeypatch.setattr(N, "MAX_BROADCAST_DOCS", 0)
+        monkeypatch.setattr(N, "MAX_BROADCAST_BYTES", 0)
         monkeypatch.setattr(N, "MAX_COUNTED", 3)
     rows = near_copies() + [(None if i is None else i + 5000, t) for i, t in odd_texts]
     got = [tuple(r) for r in N.link_documents(spark, table(spark, rows).repartition(3), k, num, 100)
