@@ -115,3 +115,20 @@ def test_killed_store_append_is_repeated(spark, scratch, monkeypatch):
     assert store.read().count() == 1
     assert store.append(rated(spark, ["b"], 1), "r2")
     assert sorted(r["record_hash"] for r in store.read().collect()) == ["a", "b"]
+
+
+def test_records_are_made_once_for_all_attempts(spark):
+    """sink_append_once: every attempt reads the stored records, none makes them again."""
+    from types import SimpleNamespace
+
+    from meterbill.plans.catalog import REGISTRY
+    made = spark.sparkContext.accumulator(0)
+    blank = (None,) * (len(NORMALIZED_CDR) - 1)
+
+    def record(n):
+        made.add(1)
+        return dict(zip((f.name for f in NORMALIZED_CDR if f.name != "record_hash"), blank)) | {"record_hash": f"h{n}"}
+    frame = spark.createDataFrame(spark.sparkContext.parallelize(range(40), 2).map(record), NORMALIZED_CDR)
+    got = REGISTRY["sink_append_once"](SimpleNamespace(spark=spark, normalized=frame))
+    assert sorted(r["record_hash"] for r in got.collect()) == sorted(f"h{n}" for n in range(40))
+    assert made.value == 40
