@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from meterbill.operators import mediation as M
 from meterbill.operators import quality as Q
+from meterbill.operators.rating import unprocessed
 from meterbill.schemas import RAW_CDR
 from meterbill.sources.cdr import decode_cdr
 
@@ -197,3 +198,13 @@ def test_scratch_folders_are_deleted(spark, tmp_path, monkeypatch):
     spark.range(3).write.parquet(f"file://{tmp_path}/a")
     session.drop_scratch(spark.sparkContext._gateway.jvm)
     assert not os.path.exists(tmp_path / "a")
+
+
+def test_no_decoding_in_a_filter_at_the_scan(spark):
+    """A join on the hash must not send "is not null" of it, decoding and all, below the shuffle of the messages."""
+    raw = spark.createDataFrame([(i, json.dumps({**VOICE, "duration_sec": i})) for i in range(4)], "offset long, value string").repartition(2, "offset")
+    normalized = M.mediate(decode_cdr(raw, keep=("offset",)))
+    new = unprocessed(normalized, normalized.where("duration_sec > 5"))
+    filters = [line for line in new._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Filter" in line]
+    assert filters and not any("from_json" in line for line in filters)
+    assert new.count() == 1 and not normalized.schema["record_hash"].nullable
