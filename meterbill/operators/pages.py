@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 RANGE, PLACE = "_range", "_place"
 RANGE_ROWS = 100_000
+FEW_RANGES = 200          # more ranges than these, each a task and a folder, only if they hold RANGE_ROWS rows
 _INDEX = T.StructType([T.StructField(RANGE, T.IntegerType()), T.StructField("start", T.LongType()), T.StructField("rows", T.LongType())])
 
 
@@ -25,10 +26,13 @@ class Pages:
 
     @classmethod
     def build(cls, df: DataFrame, order: Sequence[Column], path: str, range_rows: int = RANGE_ROWS) -> Pages:
-        """Sort ``df`` into ranges of about ``range_rows`` rows below ``path``. The
-        order should be total: rows equal in it share a range."""
+        """Sort ``df`` into ranges of about ``range_rows`` rows below ``path``, of a
+        long list more: as many as ``FEW_RANGES`` ranges need, up to ``RANGE_ROWS``
+        (the driver samples, plans and lists by range). The order should be total:
+        rows equal in it share a range."""
         made = cls(df.sparkSession, path, df.schema)
-        parts = max(1, -(-df.count() // range_rows))
+        n = df.count()
+        parts = max(1, -(-n // max(range_rows, min(RANGE_ROWS, -(-n // FEW_RANGES)))))
         dealt = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
         numbered = dealt.withColumns({PLACE: F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1), RANGE: F.spark_partition_id()})
         numbered.write.mode("overwrite").partitionBy(RANGE).parquet(f"{path}/rows")

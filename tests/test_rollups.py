@@ -80,6 +80,17 @@ def test_all_pages_are_the_sorted_list(spark, scratch):
     assert empty.page(1).count() == 0 and empty.count().first()["total_pages"] == 0
 
 
+def test_small_ranges_of_a_long_list_are_few(spark, scratch):
+    """Not a task and a folder for every ``range_rows`` rows, and every page is still right."""
+    pages = PG.Pages.build(spark.range(3000).select(F.col("id"), (F.col("id") % 7).alias("x")), [F.desc("id")], scratch("pages"), range_rows=2)
+    index = pages.index().orderBy("start").collect()
+    assert len(index) <= PG.FEW_RANGES
+    assert [r["start"] for r in index] == [sum(r["rows"] for r in index[:n]) for n in range(len(index))] and sum(r["rows"] for r in index) == 3000
+    for number in (1, 2, 301, 600):
+        assert [r["id"] for r in pages.page(number, 5).collect()] == [2999 - (number - 1) * 5 - k for k in range(5)]
+    assert pages.page(601, 5).count() == 0
+
+
 def test_results_are_kept_by_meaning(spark, scratch):
     path, clock = scratch("t"), [0.0]
     spark.range(100).write.parquet(path)
