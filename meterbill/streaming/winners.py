@@ -29,7 +29,7 @@ from meterbill.operators.mediation import deduplicate, normalize_parties, to_nor
 from meterbill.schemas import NORMALIZED_CDR, STATUS_OK
 from meterbill.sources.cdr import decode_cdr
 from meterbill.sources.tables import empty_frame, path_exists
-from meterbill.streaming.mediation import DEFAULT_TRIGGER, stream_id
+from meterbill.streaming.mediation import DEFAULT_TRIGGER, WRITERS_A_DATE, stream_id
 
 ACCOUNTS = "_accounts"           # hidden from readers of the rows
 STORED = T.StructType([*NORMALIZED_CDR.fields, T.StructField("arrival_date", T.DateType()), T.StructField("event_date", T.DateType())])
@@ -60,6 +60,15 @@ def _event_date() -> F.Column:
     return F.to_date("timestamp")
 
 
+def by_date(won: DataFrame) -> DataFrame:
+    """A date's rows in few tasks: not a file for each task and date. Spark turns
+    adaptive execution off for the batches of a stream with state, and ignores
+    the hint then; there a date's rows meet in at most ``WRITERS_A_DATE`` tasks."""
+    if won.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+        return won.hint("rebalance", "event_date")
+    return won.repartition("event_date", F.pmod(F.xxhash64("record_hash"), F.lit(WRITERS_A_DATE)))
+
+
 def _write_account(spark: SparkSession, rows: DataFrame, stored: int, out: str, stream: str, batch_id: int, delay: str) -> None:
     when = F.expr("try_cast(timestamp AS TIMESTAMP)")
     earlier = read_accounts(spark, out).where((F.col("stream") == stream) & (F.col("batch_id") < batch_id)).agg(F.max("last_event")).first()[0]
@@ -82,8 +91,7 @@ def winner_batch_writer(out: str, checkpoint: str, accounting: bool = False, del
         folder = f"{out}/stream={stream}/batch_id={batch_id}"
         rows = batch.persist(StorageLevel.DISK_ONLY) if accounting else batch       # read twice
         won = batch_winners(rows, statuses).withColumns({"arrival_date": F.current_date(), "event_date": _event_date()})
-        # a date's rows meet in few tasks: not a file for each task and date
-        won.hint("rebalance", "event_date").write.mode("overwrite").partitionBy("arrival_date", "event_date").parquet(folder)
+        by_date(won).write.mode("overwrite").partitionBy("arrival_date", "event_date").parquet(folder)
         if accounting:
             _write_account(spark, rows, spark.read.schema(STORED).parquet(folder).count(), out, stream, batch_id, delay)
             rows.unpersist()

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from meterbill.plans.jobs import run_mediation
 from meterbill.sources.cdr import read_cdr_stream
 from meterbill.streaming import winners as SW
+from meterbill.streaming.mediation import WRITERS_A_DATE
 from tests_support import rec, write_log
 
 
@@ -95,3 +96,14 @@ def test_arrival_and_event_folders(spark, scratch):
     assert versions.where(F.col("arrival_date") >= F.date_sub(F.current_date(), 1)).count() == 2
     dates = versions.select("event_date").distinct()
     assert "ReadSchema: struct<>" in dates._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_stream_with_state_writes_few_files_a_date(spark, scratch):
+    """Adaptive execution is off for its batches, so a rebalance hint does nothing there."""
+    log, out = scratch("log"), scratch("out")
+    records = [{**rec(s), "timestamp": f"2024-01-{d:02d}T10:00:{s:02d}.000000Z"} for d in (5, 6, 7) for s in range(40)]
+    write_log(spark, f"{log}/day=0", records)
+    deliver(spark, log, out, scratch("ckpt"), delay="1 second")
+    assert rows(SW.read_winners(spark, out)) == batch(spark, records)
+    files = SW.read_versions(spark, out).select("event_date", F.input_file_name().alias("f")).distinct().groupBy("event_date").count()
+    assert 0 < max(r["count"] for r in files.collect()) <= WRITERS_A_DATE
