@@ -34,11 +34,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chunks, held_out, text_key, texts_of
+from .common import chunks, giving_back, held_out, text_key, texts_of
 
 SMOOTHING = 0.5
 _CUT = 64                 # characters of a word between two cuts
 _REMEMBERED = 300_000     # words a task remembers before it starts anew
+_PART_BYTES = 1 << 20     # of texts that are split into words together
 _SCALE = 20.0             # per character, keeps the products near 1
 _SMALL = 1e-200           # forward sums below are taken again as logs
 
@@ -260,7 +261,7 @@ def _count_pieces(pieces) -> Callable:
                  pa.array(total[piece, lang])], ["lang", "piece", "n"])
 
         for batch in batches:
-            for part in chunks(batch):
+            for part in chunks(batch, most_bytes=_PART_BYTES):
                 for lang, text in zip(part.column("lang").to_pylist(), texts_of(part)):
                     seen[lang].update(text.split())
                 if sum(map(len, seen.values())) > _REMEMBERED:
@@ -276,7 +277,7 @@ def learn(spark: SparkSession, docs: DataFrame, pieces: list[str]) -> tuple[list
     of the rows of ``docs`` (text, lang) with a language."""
     shared = spark.sparkContext.broadcast(pieces)             # the vocabulary: a fixed size
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
-    sums = (rows.mapInArrow(_count_pieces(shared), "lang string, piece int, n double")
+    sums = (rows.mapInArrow(giving_back(_count_pieces(shared)), "lang string, piece int, n double")
                 .groupBy("lang", "piece").agg(F.sum("n").alias("n")).toArrow())
     langs = sorted(set(sums.column("lang").to_pylist()))
     counts = np.full((len(pieces) + 1, len(langs)), SMOOTHING)
@@ -328,7 +329,7 @@ def _predict(model) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(*model.value)
         for batch in batches:
-            for part in chunks(batch):
+            for part in chunks(batch, most_bytes=_PART_BYTES):
                 preds, scores = scorer.predict(texts_of(part))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("key"), pa.array(preds, pa.string()), pa.array(scores, pa.float64())],
@@ -340,7 +341,7 @@ def _accept(model, least: float) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(*model.value)
         for batch in batches:
-            for part in chunks(batch):
+            for part in chunks(batch, most_bytes=_PART_BYTES):
                 preds, scores = scorer.predict(texts_of(part))
                 yield part.filter(pa.array([p != "und" and s >= least for p, s in zip(preds, scores)], pa.bool_()))
     return run
@@ -350,7 +351,7 @@ def predict(spark: SparkSession, docs: DataFrame, model: tuple, pieces: list[str
     """``doc_id, key, lang_pred, score`` of each row (key: the text's hash)."""
     shared = spark.sparkContext.broadcast((pieces, *model))   # pieces x languages numbers
     rows = docs.select("doc_id", text_key(F.col("text")).alias("key"), "text")
-    return rows.mapInArrow(_predict(shared), "doc_id long, key long, lang_pred string, score double")
+    return rows.mapInArrow(giving_back(_predict(shared)), "doc_id long, key long, lang_pred string, score double")
 
 
 def accept(spark: SparkSession, docs: DataFrame, least: float = 0.5, vocabulary: str | None = None) -> DataFrame:
@@ -359,7 +360,7 @@ def accept(spark: SparkSession, docs: DataFrame, least: float = 0.5, vocabulary:
     pieces = load_pieces(vocabulary)
     model = learn(spark, docs.where(~held_out(F.col("doc_id"))), pieces)
     shared = spark.sparkContext.broadcast((pieces, *model))
-    return docs.mapInArrow(_accept(shared, least), docs.schema)
+    return docs.mapInArrow(giving_back(_accept(shared, least)), docs.schema)
 
 
 def identify(spark: SparkSession, docs: DataFrame, vocabulary: str | None = None) -> DataFrame:

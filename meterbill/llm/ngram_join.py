@@ -41,11 +41,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .clusters import Forest, components, deal, spanning_links
-from .common import Scratch, broadcast_if_small, chunks, fresh, mix64, shingle_sets, text_key, texts_of
+from .common import Scratch, broadcast_if_small, chunks, fresh, giving_back, mix64, shingle_sets, text_key, texts_of
 
 MAX_COUNTED = 1_000_000       # rows of the broadcast table of frequent shingles
 MAX_BROADCAST_BYTES = 32 << 20
 _FLUSH = 2_000_000            # shingles a task holds before it counts them
+_PART_BYTES = 2 << 20     # of texts whose shingles are made together
 _TASK_SHINGLES = 1_500_000    # shingles that meet in one search task
 _LEAD = 25                    # l is one of so many shingles of a set (at least 1)
 _SHORT = 8                    # sets of a list whose pairs are counted
@@ -68,7 +69,7 @@ def _count_frequent(k: int) -> Callable:
             return pa.RecordBatch.from_arrays([pa.array(tokens[often].view(np.int64)), pa.array(count[often])], ["token", "n"])
 
         for batch in batches:
-            for part in chunks(batch):
+            for part in chunks(batch, most_bytes=_PART_BYTES):
                 keys = part.column("key").to_pylist()
                 new = [i for i, x in enumerate(keys) if x not in seen]
                 seen.update(keys)
@@ -88,7 +89,7 @@ def _count_frequent(k: int) -> Callable:
 
 def frequent_shingles(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
     """The most frequent shingles and the bit length of their counts."""
-    rows = docs.select(text_key(F.col("text")).alias("key"), "text").mapInArrow(_count_frequent(k), "token long, n long")
+    rows = docs.select(text_key(F.col("text")).alias("key"), "text").mapInArrow(giving_back(_count_frequent(k)), "token long, n long")
     top = (rows.groupBy("token").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "token").limit(MAX_COUNTED)
                .select("token", F.length(F.bin("n")).cast("byte").alias("bits")).toArrow())
     tokens = top.column("token").to_numpy().view(np.uint64)
@@ -103,7 +104,7 @@ def _describe(k: int, num: int, den: int, frequent) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, bits = frequent.value
         for batch in batches:
-            for part in chunks(batch):
+            for part in chunks(batch, most_bytes=_PART_BYTES):
                 tokens, sizes = shingle_sets(texts_of(part), k)
                 rank = np.zeros(len(tokens), np.int8)
                 if len(known):
@@ -132,7 +133,7 @@ def _sets(k: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
         for batch in batches:
-            for part in chunks(batch):
+            for part in chunks(batch, most_bytes=_PART_BYTES):
                 sigs = part.column("sig").to_pylist()
                 part = part.take(pa.array([i for i, x in enumerate(sigs) if x not in seen and not seen.add(x)], pa.int64()))
                 tokens, sizes = shingle_sets(texts_of(part), k)
@@ -247,7 +248,7 @@ def link_documents(spark: SparkSession, docs: DataFrame, k: int = 5, num: int =
     frequent = spark.sparkContext.broadcast(frequent_shingles(docs, k))     # at most MAX_COUNTED rows
     keyed = docs.select("doc_id", text_key(F.col("text")).alias("key"), "text")
     sets = scratch.write(keyed.mapInArrow(
-        _describe(k, num, den, frequent),
+        giving_back(_describe(k, num, den, frequent)),
         "doc_id long, key long, sig binary, size long, least long, prefix array<long>"), "sets")
 
     # classes of equal sets; ids of 64 bits are enough to bring sets together, links are verified
@@ -265,7 +266,7 @@ def link_documents(spark: SparkSession, docs: DataFrame, k: int = 5, num: int =
     texts = keyed.join(broadcast_if_small(wanted, 120 + 8 * F.size("meets"), MAX_BROADCAST_BYTES),
                        keyed["doc_id"].eqNullSafe(F.col("want_id")) & (keyed["key"] == F.col("want_key")))
     found = texts.select("grp", "sig", "meets", "text").mapInArrow(
-        _sets(k), "grp long, node binary, meets array<struct<i:int,j:int>>, payload array<long>")
+        giving_back(_sets(k)), "grp long, node binary, meets array<struct<i:int,j:int>>, payload array<long>")
     links = scratch.write(spanning_links(found, divide_skip(num, den)).where("a <> b"), "links")
     scratch.drop("wanted", "groups")
     labels = components(scratch, links, "linked")
